@@ -15,19 +15,22 @@ _TAG = r"(?s)<[!/?a-zA-Z][^>]*>"
 
 
 def unescape(c) -> Column:
-    """Decode the five XML entities and the two most common named ones."""
+    """Decode the five XML entities and the most common named ones.
+
+    As in browsers, the old names also count without their semicolon.
+    """
     out = as_col(c)
     for entity, text in (
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
+        ("&lt;?", "<"),
+        ("&gt;?", ">"),
+        ("&quot;?", '"'),
         ("&#39;", "'"),
-        ("&nbsp;", " "),
-        ("&copy;", "©"),
-        ("&middot;", "·"),
-        ("&amp;", "&"),
+        ("&nbsp;?", "\u00a0"),
+        ("&copy;?", "©"),
+        ("&middot;?", "·"),
+        ("&amp;?", "&"),
     ):
-        out = F.replace(out, F.lit(entity), F.lit(text))
+        out = F.regexp_replace(out, entity, text)
     return out
 
 

@@ -74,7 +74,7 @@ def frontmatter(df: DataFrame) -> DataFrame:
         sport=F.col("sport"),
         source=F.col("source"),
         date=F.col("date"),
-        keywords=json_string_list("keywords"),
+        keywords=json_string_list(F.coalesce("keywords", F.array().cast("array<string>"))),
         score=F.col("seo.score").cast("string"),
     )
     return df.withColumn("markdown", F.concat(head, F.lit("\n"), F.col("body"))).withColumn(

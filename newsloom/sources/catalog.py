@@ -118,7 +118,8 @@ _TASKS = {
 
 def default_templates(placeholder: str) -> list[tuple[str, str]]:
     """One short neutral prompt per content type; bring your own wording."""
-    ending = _ANSWER_FORMAT.replace("{link}", placeholder)
+    shown = placeholder.replace("{", "{{").replace("}", "}}")
+    ending = _ANSWER_FORMAT.replace("{link}", shown)
     fields = " for {sport} on {date}.\n\nSource data:\n{source_data}\n\nKeywords: {keywords}\n"
     return [(kind, _TASKS[kind] + fields + ending) for kind in CONTENT_TYPES]
 
