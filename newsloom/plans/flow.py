@@ -27,6 +27,7 @@ from ..operators.render import (
     wrap_html,
 )
 from ..operators.scoring import seo_report, seo_score
+from ..session import cut_lineage
 from ..sources import catalog
 from ..sources.pages import pages_of_sites, read_pages
 from ..sources.processed import read_processed, write_processed
@@ -51,20 +52,24 @@ def articles_of_pages(pages: DataFrame, sites: DataFrame, date: str, settings: S
     """Extracted and enriched article rows of a table of fetched pages."""
     spark = pages.sparkSession
     listing = pages_of_sites(pages, sites).drop("base_url")
-    rows = extract_records(listing, catalog.rules(spark), sites, catalog.category_rules(spark))
-    rows = rows.select(
-        "*",
-        F.lit(date).alias("date"),
-        F.struct("source", "page_id", "pos").alias("ord"),
-        F.concat_ws("-", "source", F.lit(date), "page_id", "pos").alias("article_id"),
-    )
-    rows = rows.withColumn(
-        "needs_full_scrape", F.col("needs_full_scrape") & (F.col("source") == settings.linked_source)
-    )
-    # only pages some chosen article can link to are parsed for a body
-    wanted = rows.where("needs_full_scrape").select("url").distinct()
+    is_linked = F.col("source") == settings.linked_source
+
+    def records(some_pages: DataFrame) -> DataFrame:
+        rows = extract_records(some_pages, catalog.rules(spark), sites, catalog.category_rules(spark))
+        return rows.select(
+            "*",
+            F.lit(date).alias("date"),
+            F.struct("source", "page_id", "pos").alias("ord"),
+            F.concat_ws("-", "source", F.lit(date), "page_id", "pos").alias("article_id"),
+        )
+
+    # read several times below, so its pages are parsed once and kept
+    linked = cut_lineage(records(listing.where(is_linked)))
+    # only pages that a card links to are parsed for a body
+    wanted = linked.where("needs_full_scrape").select("url").distinct()
     bodies = extract_body(pages.join(wanted, "url", "left_semi"))
-    return enrich_linked(rows, bodies, settings.linked_limit).drop("needs_full_scrape", "page_id", "pos")
+    rows = records(listing.where(~is_linked)).unionByName(enrich_linked(linked, bodies, settings.linked_limit))
+    return rows.drop("needs_full_scrape", "page_id", "pos")
 
 
 def prompts_of(

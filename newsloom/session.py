@@ -5,7 +5,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Settings the jobs are written for; pass them to the session builder.
 RECOMMENDED = {
@@ -40,10 +40,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     A written table survives lost executors, and its file sizes give the
     optimiser real statistics for the joins that follow.
     """
+    return cut_and_measure(df)[0]
+
+
+def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` plus aggregates collected while writing, at no extra job."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/newsloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    out = df.observe(seen, *[c.alias(k) for k, c in measures.items()]) if measures else df
+    out.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), (seen.get if measures else {})
 
 
 def ship_package(spark: SparkSession) -> None:
