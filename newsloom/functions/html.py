@@ -19,8 +19,9 @@ def unescape(c) -> Column:
 
     As in browsers, the old names also count without their semicolon.
     """
-    out = as_col(c)
-    for entity, text in (
+    text = as_col(c)
+    out = text
+    for entity, sign in (
         ("&lt;?", "<"),
         ("&gt;?", ">"),
         ("&quot;?", '"'),
@@ -30,8 +31,8 @@ def unescape(c) -> Column:
         ("&middot;?", "·"),
         ("&amp;?", "&"),
     ):
-        out = F.regexp_replace(out, entity, text)
-    return out
+        out = F.regexp_replace(out, entity, sign)
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 
 def page_title(html) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
-NOT_SPACE = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]"
+# the plain range first: most characters are settled by one comparison
+NOT_SPACE = r"[!-~[^\s\x0b\x1c-\x1f\x85\p{Z}]]"
 _NOT_WORD_SPACE_DASH = r"[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x85\p{Z}-]"
 
 
@@ -16,6 +17,11 @@ def as_col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+def bind(value, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def text_of(c) -> Column:
     """``c`` with null read as the empty string."""
     return F.coalesce(as_col(c), F.lit(""))

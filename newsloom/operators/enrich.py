@@ -6,30 +6,41 @@ from pyspark.sql import functions as F
 from ..sources.catalog import LINKED_LIMIT
 
 
+RUN = ("source", "date")
+
+
+def first_linked(
+    articles: DataFrame,
+    limit: int = LINKED_LIMIT,
+    per: tuple[str, ...] = RUN,
+    order_col: str = "ord",
+    flag: str = "needs_full_scrape",
+) -> DataFrame:
+    """Thin rows of the first ``limit`` flagged articles of each run.
+
+    The rank is cut to ``limit`` before its shuffle, so a run with very many
+    articles costs no more than any other.
+    """
+    rank = F.row_number().over(Window.partitionBy(*per).orderBy(order_col))
+    flagged = articles.where(F.col(flag)).select(*per, order_col, "url")
+    return flagged.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+
+
 def enrich_linked(
     articles: DataFrame,
     bodies: DataFrame,
     limit: int = LINKED_LIMIT,
-    per: tuple[str, ...] = ("source", "date"),
+    per: tuple[str, ...] = RUN,
     order_col: str = "ord",
     flag: str = "needs_full_scrape",
 ) -> DataFrame:
     """The first ``limit`` flagged articles of each run take content and source from ``bodies``.
 
-    ``bodies(url, content, raw_html)`` has one row per fetched URL. The rank
-    runs on thin rows and is cut to ``limit`` before its shuffle, so the
-    enriched side has at most ``limit`` rows per run; articles whose URL has no
-    body stay as they are.
+    ``bodies(url, content, raw_html)`` has one row per fetched URL; articles
+    whose URL has no body stay as they are.
     """
-    rank = F.row_number().over(Window.partitionBy(*per).orderBy(order_col))
-    chosen = (
-        articles.where(F.col(flag))
-        .select(*per, order_col, "url")
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= limit)
-    )
-    found = chosen.join(bodies.select("url", F.col("content").alias("_c"), F.col("raw_html").alias("_r")), "url")
-    found = found.select(*per, order_col, "_c", "_r")
+    body = bodies.select("url", F.col("content").alias("_c"), F.col("raw_html").alias("_r"))
+    found = first_linked(articles, limit, per, order_col, flag).join(body, "url").drop("url")
     return (
         articles.join(found, [*per, order_col], "left")
         .withColumn("content", F.coalesce("_c", "content"))

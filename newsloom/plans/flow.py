@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..operators.dedup import deduplicate
-from ..operators.enrich import enrich_linked
+from ..operators.enrich import enrich_linked, first_linked
 from ..operators.extract import extract_body, extract_records
 from ..operators.frontier import select_sites
 from ..operators.prompts import assemble_articles, build_prompt, with_template
@@ -65,8 +65,8 @@ def articles_of_pages(pages: DataFrame, sites: DataFrame, date: str, settings: S
 
     # read several times below, so its pages are parsed once and kept
     linked = cut_lineage(records(listing.where(is_linked)))
-    # only pages that a card links to are parsed for a body
-    wanted = linked.where("needs_full_scrape").select("url").distinct()
+    # a few URLs per run; only their pages are parsed for a body
+    wanted = first_linked(linked, settings.linked_limit).select("url").distinct()
     bodies = extract_body(pages.join(wanted, "url", "left_semi"))
     rows = records(listing.where(~is_linked)).unionByName(enrich_linked(linked, bodies, settings.linked_limit))
     return rows.drop("needs_full_scrape", "page_id", "pos")
