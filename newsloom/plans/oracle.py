@@ -366,6 +366,9 @@ SELECT page_id, host,
 
     q["dedup_exact"] = f"SELECT ord, url, title FROM ({EXACT}) WHERE kept"
     q["dedup_counts"] = f"SELECT count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS removed FROM ({EXACT})"
+    # a title and the same title with one more letter share all its characters
+    q["title_similarity"] = f"""
+SELECT ord, 2.0::DOUBLE * length(title) / (2 * length(title) + 1) AS ratio FROM ({TITLED})"""
     q["repeated_urls"] = f"""
 SELECT ord, first_ord, url FROM (SELECT ord, url, min(ord) OVER (PARTITION BY url) AS first_ord FROM ({REPEATS})) WHERE ord > first_ord"""
     q["records_per_source"] = "SELECT source, count(*) AS records FROM documents GROUP BY source"
@@ -439,4 +442,14 @@ SELECT CAST(page_id AS VARCHAR) AS slug, '{I.DATE}' AS date, {_STATUS} AS status
     q["outcome_manifest"] = f"""
 SELECT CAST(page_id AS VARCHAR) AS slug, '{I.DATE}' AS date, concat('item-', page_id) AS external_id, false AS is_draft
 FROM pages WHERE page_id % 6 < 2"""
+
+    # titles and summaries with quotes or backslashes break their front matter and are set aside
+    q["incremental_run"] = f"""
+WITH r AS (SELECT ord, coalesce(category, 'best_bets') AS kind,
+    concat('TITLE: ', title, chr(10), 'META_DESCRIPTION: ', left(content, 20), chr(10), 'BODY:', chr(10), content) AS response
+  FROM ({RAW})),
+p AS (SELECT ord, kind, {_PARSED} FROM r),
+f AS (SELECT *, regexp_replace({_file("kind", "title")}, '\\.md$', '') AS slug FROM p WHERE {_strip("title")} <> '')
+SELECT DISTINCT slug, '{I.DATE}' AS date, 'batch-000000000000' AS batch_id FROM f
+WHERE NOT contains(title || meta_description, '"') AND NOT contains(title || meta_description, chr(92))"""
     return q

@@ -247,7 +247,7 @@ def q_robots_allowed(spark, d):
 
 
 def _with_repeats(spark, d):
-    """Pages and, per page, a copy at the next page's URL and one at its own URL."""
+    """Pages with two near-copies each: one at the same URL, one at another."""
     p = _table(spark, d, "pages").select("page_id", "url", H.page_title("html").alias("title"))
     return p.select(
         F.explode(
@@ -283,7 +283,7 @@ def q_dedup_fuzzy(spark, d):
 
 
 def q_similar_title_pairs(spark, d):
-    return D.similar_title_pairs(_titled(spark, d))
+    return D.similar_title_pairs(_with_repeats(spark, d))
 
 
 def q_title_similarity(spark, d):
