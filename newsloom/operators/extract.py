@@ -8,6 +8,7 @@ from ..functions.selectors import Page, parse_selector
 from ..functions.urls import path_of, resolve_link, sport_from_path
 from ..schemas import CARD
 from ..sources.catalog import ARTICLE_BODY_SEL
+from .skew import small
 
 #: ``class`` or ``id`` written with a character reference cannot be searched literally.
 _ENCODED_NAME = r"(?i)\b(?:class|id)\s*=\s*(?:\"[^\"]*&|'[^']*&|[^\s\"'>]*&)"
@@ -85,7 +86,7 @@ def extract_cards(pages: DataFrame, rules: DataFrame) -> DataFrame:
     A page without cards gives one row from its main area, a page without that
     gives none. Adds ``pos`` and the card fields; ``html`` is dropped.
     """
-    joined = pages.where(F.col("html").isNotNull()).join(rules, "source")
+    joined = pages.where(F.col("html").isNotNull()).join(small(rules), "source")
     joined = joined.where(_may_match(F.col("html"), F.concat_ws(",", "card_sel", "fallback_sel")))
     read = F.pandas_udf(_card_batches, f"array<{CARD.simpleString()}>")
     keep = [c for c in pages.columns if c != "html"] + ["resolve_links"]
@@ -114,8 +115,8 @@ def extract_records(
     cards = extract_cards(pages, rules).withColumnRenamed("url", "page_url")
     linked = resolve_link("href", "base_url", "page_url")
     return (
-        cards.join(sites.select("source", "base_url"), "source")
-        .join(category_rules, "source")
+        cards.join(small(sites.select("source", "base_url")), "source")
+        .join(small(category_rules), "source")
         .select(
             "source",
             "page_id",

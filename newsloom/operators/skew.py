@@ -50,3 +50,17 @@ def lookup_join(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))
     )
     return salted_rows.drop("_salts").join(salted_table.drop("_salts"), [key, "_salt"], how).drop("_salt")
+
+
+#: Most rows a configuration table may have to be sent to every task.
+SMALL_ROWS = 10_000
+
+
+def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Broadcast a configuration table (sites, rules, templates) if it really is small.
+
+    Reads at most ``max_rows + 1`` rows to find out. A larger table is joined by
+    key like any other. Tables built from local rows carry no size of their
+    own, and left to itself the planner may send the big side instead.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

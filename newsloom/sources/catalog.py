@@ -3,7 +3,9 @@
 All of them are plain tables; pass your own with the same schema to add a site.
 """
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .. import schemas
 
@@ -124,17 +126,24 @@ def default_templates(placeholder: str) -> list[tuple[str, str]]:
     return [(kind, _TASKS[kind] + fields + ending) for kind in CONTENT_TYPES]
 
 
+def _table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A local relation, whose size the planner knows."""
+    columns = [list(c) for c in zip(*rows)]
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema.fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.names), schema)
+
+
 def sites(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITES, schemas.SITES)
+    return _table(spark, SITES, schemas.SITES)
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULES, schemas.RULES)
+    return _table(spark, RULES, schemas.RULES)
 
 
 def category_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORY_RULES, schemas.CATEGORY_RULES)
+    return _table(spark, CATEGORY_RULES, schemas.CATEGORY_RULES)
 
 
 def templates(spark: SparkSession, placeholder: str) -> DataFrame:
-    return spark.createDataFrame(default_templates(placeholder), schemas.TEMPLATES)
+    return _table(spark, default_templates(placeholder), schemas.TEMPLATES)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import host_of, path_of
+from ..operators.skew import small
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -19,8 +20,7 @@ def locate(pages: DataFrame) -> DataFrame:
 def pages_of_sites(pages: DataFrame, sites: DataFrame) -> DataFrame:
     """Pages with the ``source`` and ``base_url`` of the site whose host they are on.
 
-    The site list is left to the optimiser, which broadcasts it as long as its
-    measured size allows.
+    A site list of checked small size is broadcast, so the pages do not move.
     """
     hosts = sites.select(host_of("base_url").alias("host"), "source", "base_url")
-    return locate(pages).join(hosts, "host")
+    return locate(pages).join(small(hosts), "host")
