@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import best_fit, decontaminate, packing, token_counts
 from .inputs import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.annotate(docs, items, keep=["doc_id"])
@@ -26,9 +30,28 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = best_fit.pack_matrices(table(spark, sf_dir, "documents"))
+    return packed.select(
+        "sequence_id",
+        "n_ids",
+        F.crc32("ids").alias("ids_crc32"),
+        "cu_seqlens",
+        F.crc32("position_ids").alias("position_ids_crc32"),
+        "segments",
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
         "op2_decontamination": op2_decontamination,
+        "op4_token_matrices": op4_token_matrices,
+        "op5_token_counts": op5_token_counts,
     }
 
 
