@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, decontaminate, packing, token_counts
+from . import best_fit, decontaminate, gray_index, licences, packing, token_counts
 from .inputs import table
 
 
@@ -46,12 +46,36 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    starts = F.col("places.word")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.concat_ws(",", F.array_sort(F.array_distinct("places.label"))).alias("base_labels"),
+        F.concat_ws(",", "labels").alias("labels"),
+        "score",
+    )
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = gray_index.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_decontamination": op2_decontamination,
         "op4_token_matrices": op4_token_matrices,
         "op5_token_counts": op5_token_counts,
+        "op8_licences": op8_licences,
+        "op10_simhash": op10_simhash,
     }
 
 
