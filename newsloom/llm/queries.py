@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, decontaminate, gray_index, licences, packing, token_counts
+from . import best_fit, decontaminate, gray_index, licences, line_dedup, packing, token_counts
 from .inputs import table
 
 
@@ -46,6 +46,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document that is left: its text's digest and the lines that went."""
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+        F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"),
+        "removed_lines",
+    )
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"))
     starts = F.col("places.word")
@@ -74,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op4_token_matrices": op4_token_matrices,
         "op5_token_counts": op5_token_counts,
+        "op6_line_dedup": op6_line_dedup,
         "op8_licences": op8_licences,
         "op10_simhash": op10_simhash,
     }
