@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, decontaminate, gray_index, licences, line_dedup, packing, token_counts
+from . import best_fit, decontaminate, gray_index, licences, line_dedup, packing, secrets, token_counts, winnow
 from .inputs import table
 
 
@@ -30,6 +30,21 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(hashes: str) -> Column:
+        return F.concat_ws(" ", F.transform(hashes, lambda h: F.lower(F.hex(h))))
+
+    return winnow.compare_with_next(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        written("hashes").alias("fingerprint"),
+        written("edited_hashes").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op4_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = best_fit.pack_matrices(table(spark, sf_dir, "documents"))
     return packed.select(
@@ -73,6 +88,24 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def written(spans: Column) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(written(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = gray_index.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -84,10 +117,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_decontamination": op2_decontamination,
+        "op3_winnowing": op3_winnowing,
         "op4_token_matrices": op4_token_matrices,
         "op5_token_counts": op5_token_counts,
         "op6_line_dedup": op6_line_dedup,
         "op8_licences": op8_licences,
+        "op9_secrets": op9_secrets,
         "op10_simhash": op10_simhash,
     }
 
