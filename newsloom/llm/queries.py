@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, decontaminate, gray_index, licences, line_dedup, packing, secrets, token_counts, winnow
+from . import (
+    best_fit,
+    decontaminate,
+    gray_index,
+    licences,
+    line_dedup,
+    packing,
+    secrets,
+    token_counts,
+    toxicity,
+    winnow,
+)
 from .inputs import table
 
 
@@ -73,6 +84,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"))
     starts = F.col("places.word")
@@ -121,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_matrices": op4_token_matrices,
         "op5_token_counts": op5_token_counts,
         "op6_line_dedup": op6_line_dedup,
+        "op7_toxicity": op7_toxicity,
         "op8_licences": op8_licences,
         "op9_secrets": op9_secrets,
         "op10_simhash": op10_simhash,
