@@ -29,6 +29,7 @@ from ..session import cut_and_measure, cut_lineage
 from .batches import Rows, map_batches
 from .components import components
 from .hamming import Groups, grouped, join_labels
+from .row_keys import ID, ROW, renamed, same_key, with_key
 from .simhash import shingle_fingerprint, signed
 
 SHINGLE = 4
@@ -37,6 +38,8 @@ DISTANCE = 4
 FAN_OUT = 16
 #: Queries that descend together.
 QUERIES = 256
+#: Rows to leave out that are sent to every task; more are joined by key.
+DROP_BROADCAST = 100_000
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -159,3 +162,34 @@ def component_ids(marked: DataFrame, distance: int = DISTANCE, smallest: str = "
     return rooted.join(least, "root", "left").select(
         "fingerprint", F.coalesce("component_id", "least").alias("component_id")
     )
+
+
+def keep_one(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest ``doc_id`` (null first).
+
+    Rows equal in every column are one document.
+    """
+    keyed = with_key(docs, doc_id)
+    thin = keyed.select(ID, ROW, F.col(text).cast("string").alias("_text"))
+
+    def task():
+        return lambda rows: {"fingerprint": [signed(shingle_fingerprint(t, shingle)) for t in rows["_text"]]}
+
+    marked = cut_lineage(map_batches(thin, "fingerprint long", task, keep=[ID, ROW], read=["_text"]))
+    marked = marked.withColumn("_row", F.struct(ID, ROW))
+    kept = component_ids(marked, distance, "_row").withColumnRenamed("component_id", "_kept")
+    drop, seen = cut_and_measure(
+        marked.join(kept, "fingerprint").where(~F.col("_row").eqNullSafe(F.col("_kept"))).select(ID, ROW).distinct(),
+        n=F.count(F.lit(1)),
+    )
+    drop = renamed(drop)
+    left = keyed.join(F.broadcast(drop) if seen["n"] <= DROP_BROADCAST else drop, same_key(), "left_anti")
+    if marked.groupBy(ID, ROW).count().where("count > 1").limit(1).count():
+        left = left.dropDuplicates([ID, ROW])
+    return left.select(docs.columns)
