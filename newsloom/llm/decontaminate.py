@@ -14,13 +14,13 @@ other columns of either table are ignored or passed through unchanged.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import cut_lineage
+from ..session import cut_and_measure, cut_lineage
 from .automaton import SuffixAutomaton
 from .batches import Rows, map_batches
 from .words import word_bytes, word_spans
@@ -59,10 +59,13 @@ def _pieces(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame
     return map_batches(thin, "item string, words string, size long", task).distinct()
 
 
-def _blocks(pieces: DataFrame, window: int) -> list[tuple[SuffixAutomaton, list[str]]]:
-    """Lazily one automaton per block; a block is bounded before it is collected."""
-    total = pieces.agg(F.sum("size")).first()[0] or 0
-    count = math.ceil(total / BLOCK_WORDS) if total > 2 * BLOCK_WORDS else 1
+def _block_count(pieces: DataFrame) -> int:
+    return max(1, math.ceil((pieces.agg(F.sum("size")).first()[0] or 0) / BLOCK_WORDS))
+
+
+def _blocks(pieces: DataFrame, window: int) -> Iterator[tuple[SuffixAutomaton, list[str]]]:
+    """Lazily one automaton per block; a block has about ``BLOCK_WORDS`` words, so it can be collected."""
+    count = _block_count(pieces)
     for block in range(count):
         mine = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(count)) == block)
         automaton, names = SuffixAutomaton(), []
@@ -195,19 +198,40 @@ def decontaminate(
     a cut brings new neighbours together, they are looked at again, until no
     window is left. Documents without hits come back unchanged.
     """
+    others = [c for c in docs.columns if c != text]
+    schema = StructType([docs.schema[text]])
     pieces = cut_lineage(_pieces(items, item_id, item_text, window))
-    keep = [c for c in docs.columns if c != text]
-    schema = StructType([docs.schema[text]]).add("_leak_cut", "boolean")
-    blocks = _blocks(pieces, window)
-    df, block = docs, next(blocks)
-    while block:
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-        block = next(blocks, None)
-        df = map_batches(df, schema, _clean(sent, text, window, max_span, max_coverage), keep=keep)
-        df = df.drop("_leak_cut").select(docs.columns)
-        if block:
-            df = cut_lineage(df)
-    return df
+    if _block_count(pieces) == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(next(_blocks(pieces, window)))
+        work = _clean(sent, text, window, max_span, max_coverage)
+        return map_batches(docs, schema, work, keep=others).select(docs.columns)
+    df, first = docs, True
+    while True:
+        long_spans = F.filter("_leak.spans", lambda s: s["last"] - s["first"] >= max_span)
+        found = annotate(df, items, docs.columns, text, item_id, item_text, window, "_leak")
+        found, seen = cut_and_measure(found, hit=F.count(F.when(F.size(long_spans) > 0, 1)))
+        if not seen["hit"]:
+            return found.select(docs.columns)
+        work = _cut_found(text, max_span, max_coverage if first else 1.0)
+        df, first = map_batches(found, schema, work, keep=others, read=[text, "_leak"]).select(docs.columns), False
+
+
+def _cut_found(text: str, max_span: int, max_coverage: float):
+    def task():
+        def work(rows: Rows) -> Rows:
+            out: Rows = {text: [], "_row": []}
+            for number, (body, leak) in enumerate(zip(rows[text], rows["_leak"], strict=True)):
+                spans = [(s["first"], s["last"]) for s in leak["spans"]]
+                if sum(b - a for a, b in spans) > max_coverage * leak["n_words"]:
+                    continue
+                spans = [(a, b) for a, b in spans if b - a >= max_span]
+                out[text].append(cut(body, spans) if spans else body)
+                out["_row"].append(number)
+            return out
+
+        return work
+
+    return task
 
 
 def _clean(sent, text: str, window: int, max_span: int, max_coverage: float):
@@ -215,23 +239,16 @@ def _clean(sent, text: str, window: int, max_span: int, max_coverage: float):
         automaton, names = sent.value
 
         def work(rows: Rows) -> Rows:
-            out: Rows = {text: [], "_leak_cut": [], "_row": []}
+            out: Rows = {text: [], "_row": []}
             for number, body in enumerate(rows[text]):
-                first_time, changed = True, False
-                while True:
-                    words = word_bytes(body)
-                    spans, _ = hits(words, automaton, names, window)
-                    if first_time and sum(b - a for a, b in spans) > max_coverage * len(words):
-                        body = None
-                        break
-                    first_time = False
-                    spans = [(a, b) for a, b in spans if b - a >= max_span]
-                    if not spans:
-                        out[text].append(body)
-                        out["_leak_cut"].append(changed)
-                        out["_row"].append(number)
-                        break
-                    body, changed = cut(body, spans), True
+                spans, _ = hits(words := word_bytes(body), automaton, names, window)
+                if sum(b - a for a, b in spans) > max_coverage * len(words):
+                    continue
+                while spans := [(a, b) for a, b in spans if b - a >= max_span]:
+                    body = cut(body, spans)
+                    spans, _ = hits(word_bytes(body), automaton, names, window)
+                out[text].append(body)
+                out["_row"].append(number)
             return out
 
         return work

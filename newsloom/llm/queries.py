@@ -37,7 +37,6 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("leak.items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "leak.items"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.col("leak.spans").alias("hit_spans"),
     )
 
 
