@@ -3,38 +3,37 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.catalog import LINKED_LIMIT
-
-
 RUN = ("source", "date")
 
 
 def first_linked(
     articles: DataFrame,
-    limit: int = LINKED_LIMIT,
+    limit: int | None = None,
     per: tuple[str, ...] = RUN,
     order_col: str = "ord",
     flag: str = "needs_full_scrape",
 ) -> DataFrame:
-    """Thin rows of the first ``limit`` flagged articles of each run.
+    """Thin rows of the flagged articles, the first ``limit`` of each run if there is one.
 
     The rank is cut to ``limit`` before its shuffle, so a run with very many
     articles costs no more than any other.
     """
     rank = F.row_number().over(Window.partitionBy(*per).orderBy(order_col))
     flagged = articles.where(F.col(flag)).select(*per, order_col, "url")
+    if limit is None:
+        return flagged
     return flagged.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
 
 
 def enrich_linked(
     articles: DataFrame,
     bodies: DataFrame,
-    limit: int = LINKED_LIMIT,
+    limit: int | None = None,
     per: tuple[str, ...] = RUN,
     order_col: str = "ord",
     flag: str = "needs_full_scrape",
 ) -> DataFrame:
-    """The first ``limit`` flagged articles of each run take content and source from ``bodies``.
+    """Flagged articles (the first ``limit`` of each run) take content and source from ``bodies``.
 
     ``bodies(url, content, raw_html)`` has one row per fetched URL; articles
     whose URL has no body stay as they are.

@@ -136,23 +136,21 @@ def extract_records(
 def _first_match(selector: str):
     parse_selector(selector)
 
-    def read(html: pd.Series) -> pd.DataFrame:
+    def read(html: pd.Series) -> pd.Series:
         rows = []
         for h in html:
             page = Page(h)
             e = page.first(selector)
-            rows.append((None, None) if e is None else (page.text(e, "\n"), page.source(e)))
-        return pd.DataFrame(rows, columns=["content", "raw_html"])
+            rows.append([] if e is None else [{"content": page.text(e, "\n"), "raw_html": page.source(e)}])
+        return pd.Series(rows)
 
-    return F.pandas_udf(read, "content string, raw_html string")
+    return F.pandas_udf(read, "array<struct<content: string, raw_html: string>>")
 
 
 def extract_body(pages: DataFrame, selector: str = ARTICLE_BODY_SEL) -> DataFrame:
     """Text and source of the first article body of each page; pages without one are dropped."""
     wanted = pages.where(F.col("html").isNotNull() & _may_match(F.col("html"), F.lit(selector)))
     keep = [c for c in pages.columns if c != "html"]
-    return (
-        wanted.select(*keep, _first_match(selector)("html").alias("body"))
-        .where(F.col("body.raw_html").isNotNull())
-        .select(*keep, "body.content", "body.raw_html")
-    )
+    # at most one element: a filter on the result would read every page twice
+    found = wanted.select(*keep, F.explode(_first_match(selector)("html")).alias("body"))
+    return found.select(*keep, "body.content", "body.raw_html")

@@ -27,11 +27,12 @@ from ..operators.render import (
     wrap_html,
 )
 from ..operators.scoring import seo_report, seo_score
+from ..operators.skew import small
 from ..session import cut_lineage
 from ..sources import catalog
 from ..sources.pages import pages_of_sites, read_pages
 from ..sources.processed import read_processed, write_processed
-from ..sources.published import append_manifest, read_manifest, write_published
+from ..sources.published import append_manifest, open_batch, read_manifest, write_published
 from ..sources.raw import read_day, write_raw
 from .settings import Settings
 
@@ -65,8 +66,8 @@ def articles_of_pages(pages: DataFrame, sites: DataFrame, date: str, settings: S
 
     # read several times below, so its pages are parsed once and kept
     linked = cut_lineage(records(listing.where(is_linked)))
-    # a few URLs per run; only their pages are parsed for a body
-    wanted = first_linked(linked, settings.linked_limit).select("url").distinct()
+    # only the pages that are linked to are parsed for a body
+    wanted = small(first_linked(linked, settings.linked_limit).select("url").distinct())
     bodies = extract_body(pages.join(wanted, "url", "left_semi"))
     rows = records(listing.where(~is_linked)).unionByName(enrich_linked(linked, bodies, settings.linked_limit))
     return rows.drop("needs_full_scrape", "page_id", "pos")
@@ -90,10 +91,13 @@ def scored_articles(prompts: DataFrame, responses: DataFrame, date: str, setting
     return with_error(rows, (strip("title") == "", "response without a title"))
 
 
-def formatted_articles(processed: DataFrame, date: str, settings: Settings) -> DataFrame:
-    """HTML and feed item of processed texts; ``error`` marks unreadable ones."""
-    rows = split_frontmatter(processed.drop("date"), mode=settings.frontmatter_mode)
-    rows = article_fields(rows, date)
+def read_articles(processed: DataFrame, date: str, settings: Settings) -> DataFrame:
+    """Front matter, slug and body of processed texts; ``error`` marks unreadable ones."""
+    return article_fields(split_frontmatter(processed.drop("date"), mode=settings.frontmatter_mode), date)
+
+
+def formatted(rows: DataFrame, settings: Settings) -> DataFrame:
+    """HTML and feed item of articles that were read."""
     rows = wrap_html(
         render_markdown(rows, escape_html=settings.escape_html),
         settings.author,
@@ -104,17 +108,21 @@ def formatted_articles(processed: DataFrame, date: str, settings: Settings) -> D
 
 
 def publish_batch(
-    formatted: DataFrame, base: str, batch_id: str, order_col: str = "stem"
+    articles: DataFrame, base: str, batch_id: str, settings: Settings = Settings(), order_col: str = "stem"
 ) -> DataFrame:
     """Publish what the manifest does not know yet and record it, manifest last.
 
-    Rows this very batch recorded before are ignored, so a repeated batch
-    rewrites its own partitions with the same content.
+    What is left to publish is settled on slugs; only that is rendered. What
+    the manifest has is never published again nor written over, whatever the
+    batch is called.
     """
-    spark = formatted.sparkSession
-    known = read_manifest(spark, f"{base}/manifest").where(F.col("batch_id") != batch_id)
-    todo = unpublished(formatted, known, order_col)
-    written = write_published(todo, f"{base}/published", batch_id)
+    spark = articles.sparkSession
+    known = read_manifest(spark, f"{base}/manifest")
+    batch_id = open_batch(known, batch_id)
+    todo = cut_lineage(unpublished(articles.select("slug", order_col), known, order_col))
+    written = write_published(
+        formatted(articles.join(todo, ["slug", order_col], "left_semi"), settings), f"{base}/published", batch_id
+    )
     append_manifest(manifest_rows(written, f"{base}/published"), f"{base}/manifest", batch_id)
     return written
 
@@ -164,9 +172,7 @@ def run_stages(
         _keep_rejects(bad, base, "rewrite", date, batch_id)
         out["seo"] = seo_report(good)
     if "publish" in stages:
-        good, bad = split_rejects(
-            formatted_articles(read_processed(spark, f"{base}/processed", date), date, settings)
-        )
-        out["published"] = publish_batch(good, base, batch_id)
+        good, bad = split_rejects(read_articles(read_processed(spark, f"{base}/processed", date), date, settings))
+        out["published"] = publish_batch(good, base, batch_id, settings)
         _keep_rejects(bad.select("stem", "error"), base, "publish", date, batch_id)
     return out

@@ -366,9 +366,6 @@ SELECT page_id, host,
 
     q["dedup_exact"] = f"SELECT ord, url, title FROM ({EXACT}) WHERE kept"
     q["dedup_counts"] = f"SELECT count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS removed FROM ({EXACT})"
-    # a title and the same title with one more letter share all its characters
-    q["title_similarity"] = f"""
-SELECT ord, 2.0::DOUBLE * length(title) / (2 * length(title) + 1) AS ratio FROM ({TITLED})"""
     q["repeated_urls"] = f"""
 SELECT ord, first_ord, url FROM (SELECT ord, url, min(ord) OVER (PARTITION BY url) AS first_ord FROM ({REPEATS})) WHERE ord > first_ord"""
     q["records_per_source"] = "SELECT source, count(*) AS records FROM documents GROUP BY source"
@@ -412,7 +409,6 @@ FROM s GROUP BY ROLLUP (source, content_type)"""
 SELECT ord, meta_title, meta_slug, meta_category,
   (meta_title IS NOT NULL)::INT + (meta_slug IS NOT NULL)::INT + (meta_category IS NOT NULL)::INT AS n_meta, md5(body) AS body_md5 FROM f"""
     q["split_frontmatter"] = split
-    q["split_frontmatter_yaml"] = split
     q["article_fields"] = META + f"SELECT ord, title, slug, date FROM ({_FIELDS})"
     q["markdown_blocks"] = BLOCKS + """
 SELECT kind, level, count(*) AS blocks, CAST(sum(length(inner_text)) AS BIGINT) AS n_chars FROM h GROUP BY ALL"""
@@ -443,13 +439,23 @@ SELECT CAST(page_id AS VARCHAR) AS slug, '{I.DATE}' AS date, {_STATUS} AS status
 SELECT CAST(page_id AS VARCHAR) AS slug, '{I.DATE}' AS date, concat('item-', page_id) AS external_id, false AS is_draft
 FROM pages WHERE page_id % 6 < 2"""
 
-    # titles and summaries with quotes or backslashes break their front matter and are set aside
+    # files are taken by source, then in the order of their articles
     q["incremental_run"] = f"""
-WITH r AS (SELECT ord, coalesce(category, 'best_bets') AS kind,
+WITH once AS (SELECT * FROM ({RAW}) QUALIFY row_number() OVER (PARTITION BY title ORDER BY source, ord) = 1),
+r AS (SELECT ord, coalesce(category, 'best_bets') AS kind,
     concat('TITLE: ', title, chr(10), 'META_DESCRIPTION: ', left(content, 20), chr(10), 'BODY:', chr(10), content) AS response
-  FROM ({RAW})),
+  FROM once),
 p AS (SELECT ord, kind, {_PARSED} FROM r),
 f AS (SELECT *, regexp_replace({_file("kind", "title")}, '\\.md$', '') AS slug FROM p WHERE {_strip("title")} <> '')
-SELECT DISTINCT slug, '{I.DATE}' AS date, 'batch-000000000000' AS batch_id FROM f
-WHERE NOT contains(title || meta_description, '"') AND NOT contains(title || meta_description, chr(92))"""
+SELECT DISTINCT slug, '{I.DATE}' AS date, 'batch-000000000000' AS batch_id FROM f"""
+    q["envelope_order"] = f"""
+SELECT title, url FROM ({RAW}) QUALIFY row_number() OVER (PARTITION BY title ORDER BY ord) = 1"""
+    last = "row_number() OVER (PARTITION BY output_file ORDER BY ord DESC) = 1"
+    q["rerun_same_day"] = MARKDOWN + f""",
+k AS (SELECT *, regexp_replace(output_file, '\\.md$', '') AS slug FROM d WHERE {_strip("title")} <> ''),
+one AS (SELECT * FROM k WHERE ord % 3 > 0 QUALIFY {last}),
+two AS (SELECT * FROM k WHERE ord % 3 < 2 QUALIFY {last})
+SELECT slug, CASE WHEN one.slug IS NULL THEN 'day~0002' ELSE 'day' END AS batch_id, true AS has_html,
+  md5(coalesce(two.markdown, one.markdown)) AS text_md5
+FROM one FULL JOIN two USING (slug)"""
     return q

@@ -9,7 +9,6 @@ from ..functions import html as H
 from ..functions import text as X
 from ..functions.response import parse_response
 from ..functions.seo import seo_summary
-from ..functions.similarity import title_similarity
 from ..functions.urls import sport_from_path
 from ..operators import dedup as D
 from ..operators import enrich, extract, frontier, prompts, publish, rejects, render, scoring
@@ -126,13 +125,41 @@ def q_processed_round_trip(spark, d):
 def q_publish_round_trip(spark, d):
     path = _scratch(spark)
     rows = I.derive(spark, d, "documents", I.PROCESSED)
-    rows = flow.formatted_articles(rows, I.DATE, Settings(frontmatter_mode="flat"))
-    done = flow.publish_batch(rows.where("ord % 2 = 0"), path, "first", "ord")
-    flow.publish_batch(rows, path, "second", "ord")
-    flow.publish_batch(rows, path, "second", "ord")
+    rows = flow.read_articles(rows, I.DATE, Settings())
+    flow.publish_batch(rows.where("ord % 2 = 0"), path, "first", order_col="ord")
+    flow.publish_batch(rows, path, "second", order_col="ord")
+    flow.publish_batch(rows, path, "second", order_col="ord")
     return published.read_manifest(spark, f"{path}/manifest").select("slug", "title", "date", "batch_id")
 
 
+def q_rerun_same_day(spark, d):
+    """Two runs of one day under one batch name with different answers: what is published, and the texts kept."""
+    path = _scratch(spark)
+    rows = render.frontmatter(_scored(spark, d)).where(X.strip("title") != "")
+    for run in (rows.where("ord % 3 > 0"), rows.where("ord % 3 < 2")):
+        processed.write_processed(run, f"{path}/processed")
+        texts = processed.read_processed(spark, f"{path}/processed", I.DATE)
+        flow.publish_batch(flow.read_articles(texts, I.DATE, Settings()), path, "day")
+    manifest = published.read_manifest(spark, f"{path}/manifest").select("slug", "batch_id")
+    kept = spark.read.parquet(f"{path}/published/articles").select("slug", F.length("html").alias("n_html"))
+    texts = processed.read_processed(spark, f"{path}/processed", I.DATE)
+    texts = texts.select(F.col("stem").alias("slug"), F.md5("text").alias("text_md5"))
+    out = manifest.join(kept, "slug").join(texts, "slug")
+    return out.select("slug", "batch_id", (F.col("n_html") > 0).alias("has_html"), "text_md5")
+
+
+def q_envelope_order(spark, d):
+    """One source of two articles per document, through envelope files; of each title the first stays."""
+    path = _scratch(spark)
+    rows = _documents_as_raw(spark, d).withColumn("source", F.lit("one"))
+    twice = rows.withColumn("ord", F.col("ord") * 2).union(
+        rows.withColumns({"ord": F.col("ord") * 2 + 1, "url": F.concat("url", F.lit("/again"))})
+    )
+    raw.write_raw(twice, path, "2026-01-01T00:00:00+00:00", layout="envelope")
+    stored, _ = raw.read_raw(spark, path, layout="envelope")
+    return D.deduplicate(stored.select("ord", "title", "url"), "ord", 1.0).select("title", "url")
+
+
 def q_split_rejects(spark, d):
     pages = _table(spark, d, "pages").withColumn("title", H.page_title("html"))
     checked = rejects.with_error(
@@ -286,11 +313,6 @@ def q_similar_title_pairs(spark, d):
     return D.similar_title_pairs(_with_repeats(spark, d))
 
 
-def q_title_similarity(spark, d):
-    rows = _titled(spark, d)
-    return rows.select("ord", title_similarity("title", F.concat("title", F.lit("x"))).alias("ratio"))
-
-
 def q_repeated_urls(spark, d):
     return D.repeated_urls(_with_repeats(spark, d))
 
@@ -395,12 +417,6 @@ def q_split_frontmatter(spark, d):
     return _split(spark, d).select("ord", meta("title"), meta("slug"), meta("category"), F.size("meta").alias("n_meta"), F.md5("body").alias("body_md5"))
 
 
-def q_split_frontmatter_yaml(spark, d):
-    rows = render.split_frontmatter(I.derive(spark, d, "documents", I.PROCESSED), mode="yaml")
-    meta = lambda k: F.try_element_at("meta", F.lit(k)).alias(f"meta_{k}")
-    return rows.select("ord", meta("title"), meta("slug"), meta("category"), F.size("meta").alias("n_meta"), F.md5("body").alias("body_md5"))
-
-
 def q_article_fields(spark, d):
     return render.article_fields(_split(spark, d), I.DATE).select("ord", "title", "slug", "date")
 
@@ -517,7 +533,7 @@ def q_incremental_run(spark, d):
         return asked.join(articles.select("article_id", response.alias("response")), "article_id").select("article_id", "response")
 
     run = lambda: run_incremental(
-        spark, f"{base}/in", f"{base}/run", f"{base}/checkpoint", I.DATE, answer, Settings(deduplicate=False)
+        spark, f"{base}/in", f"{base}/run", f"{base}/checkpoint", I.DATE, answer, Settings(threshold=1.0)
     )
     run()
     run()
