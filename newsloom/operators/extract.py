@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.selectors import Page, parse_selector
 from ..functions.urls import path_of, resolve_link, sport_from_path
 from ..schemas import CARD
-from ..sources.catalog import ARTICLE_BODY_SEL
+from ..sources.catalog import ARTICLE_BODY_SEL, DEFAULT_CONTENT_TYPE
 from .skew import small
 
 #: ``class`` or ``id`` written with a character reference cannot be searched literally.
@@ -98,6 +98,12 @@ def extract_cards(pages: DataFrame, rules: DataFrame) -> DataFrame:
     ).select(*keep, "pos", "card.*")
 
 
+def without_rule(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Thin rows of pages whose source has no extraction rule, with ``error``."""
+    left = pages.join(small(rules.select("source")), "source", "left_anti")
+    return left.select("source", "page_id", "url").withColumn("error", F.lit("no rule for this source"))
+
+
 def category_from_path(path, marker, hit, miss) -> Column:
     return F.when(F.contains(path, marker), hit).otherwise(miss)
 
@@ -116,7 +122,7 @@ def extract_records(
     linked = resolve_link("href", "base_url", "page_url")
     return (
         cards.join(small(sites.select("source", "base_url")), "source")
-        .join(small(category_rules), "source")
+        .join(small(category_rules), "source", "left")
         .select(
             "source",
             "page_id",
@@ -124,7 +130,10 @@ def extract_records(
             "title",
             F.when(F.col("resolve_links"), linked).otherwise(F.col("page_url")).alias("url"),
             "content",
-            category_from_path(F.col("path"), F.col("marker"), F.col("hit"), F.col("miss")).alias("category"),
+            F.coalesce(
+                category_from_path(F.col("path"), F.col("marker"), F.col("hit"), F.col("miss")),
+                F.lit(DEFAULT_CONTENT_TYPE),
+            ).alias("category"),
             sport_from_path("path").alias("sport"),
             "odds_data",
             "raw_html",

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import decoded, host_of
-from .skew import lookup_join
 
 
 def seed_urls(sites: DataFrame) -> DataFrame:
@@ -62,12 +61,10 @@ def robots_allowed(urls: DataFrame, rules: DataFrame, agent: str) -> DataFrame:
     """Add ``allowed``: the first rule whose prefix starts the URL decides.
 
     Prefixes are literal; no rule, no robots file or a URL without host means
-    allowed. Each URL meets one row per host, so nothing is multiplied and no
-    second shuffle is needed.
+    allowed. Each URL meets one row per host, so nothing is multiplied; a hot
+    host is a skewed partition of the left side, which Spark splits at run time.
     """
-    per_host = robots_by_host(rules, agent)
-    total = urls.count()
-    joined = lookup_join(urls.withColumn("host", host_of("url")), per_host, "host", "url", total)
+    joined = urls.withColumn("host", host_of("url")).join(robots_by_host(rules, agent), "host", "left")
     local = _target("url")
     target = F.when(local == "", "/").otherwise(local)
     hit = F.filter("rules", lambda r: F.startswith(F.col("_target"), r["prefix"]))

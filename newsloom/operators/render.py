@@ -92,6 +92,14 @@ def last_per_path(df: DataFrame, *path: str, order_col: str = "ord") -> DataFram
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def written_over(df: DataFrame, *path: str, order_col: str = "ord") -> DataFrame:
+    """Thin rows that ``last_per_path`` leaves out, with ``error``."""
+    thin = df.select(*path, order_col)
+    last = thin.groupBy(*path).agg(F.max(order_col).alias("_last"))
+    out = thin.join(last, list(path)).where(F.col(order_col) < F.col("_last")).drop("_last")
+    return out.withColumn("error", F.lit("written over by a later article"))
+
+
 def _yaml_batches(blocks: pd.Series) -> pd.DataFrame:
     rows = []
     for text in blocks:

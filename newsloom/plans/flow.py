@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 from ..operators.dedup import deduplicate
 from ..operators.enrich import enrich_linked, first_linked
-from ..operators.extract import extract_body, extract_records
+from ..operators.extract import extract_body, extract_records, without_rule
 from ..operators.frontier import select_sites
-from ..operators.prompts import assemble_articles, build_prompt, with_template
+from ..operators.prompts import assemble_articles, build_prompt, unanswered, with_template
 from ..operators.publish import manifest_rows, unpublished
 from ..operators.rejects import split_rejects, with_error
 from ..operators.render import (
@@ -25,6 +25,7 @@ from ..operators.render import (
     rss_item,
     split_frontmatter,
     wrap_html,
+    written_over,
 )
 from ..operators.scoring import seo_report, seo_score
 from ..operators.skew import small
@@ -151,6 +152,8 @@ def run_stages(
     if "extract" in stages:
         pages = read_pages(spark, pages_path or f"{base}/pages")
         rows = articles_of_pages(pages, sites, date, settings)
+        listing = pages_of_sites(pages, sites)
+        _keep_rejects(without_rule(listing, catalog.rules(spark)), base, "extract", date, batch_id)
         write_raw(rows, f"{base}/raw", scraped_at=f"{date}T00:00:00+00:00")
         stored = spark.read.parquet(f"{base}/raw").where(F.col("date") == date)
         out["raw"] = stored.groupBy("source", "date").agg(F.count(F.lit(1)).alias("records"))
@@ -170,6 +173,8 @@ def run_stages(
         good, bad = split_rejects(scored)
         write_processed(good, f"{base}/processed")
         _keep_rejects(bad, base, "rewrite", date, batch_id)
+        _keep_rejects(unanswered(prompts, responses), base, "unanswered", date, batch_id)
+        _keep_rejects(written_over(good, "date", "output_file"), base, "written over", date, batch_id)
         out["seo"] = seo_report(good)
     if "publish" in stages:
         good, bad = split_rejects(read_articles(read_processed(spark, f"{base}/processed", date), date, settings))

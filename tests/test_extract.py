@@ -87,13 +87,15 @@ def test_body(spark):
     assert got == {1: ("Body\nhere", "<div class='article-body'>Body <i>here</i></div>"), 2: ("A", "<article>A</article>")}
 
 
-def test_enrichment_takes_the_first_five(spark):
+def test_enrichment_takes_all_or_the_first_ones(spark):
     articles = spark.createDataFrame(
         [(i, "s", "d", f"u{i}", f"c{i}", "", i != 2) for i in range(9)],
         "ord long, source string, date string, url string, content string, raw_html string, needs_full_scrape boolean",
     )
     bodies = spark.createDataFrame([(f"u{i}", f"full{i}", "r") for i in range(9) if i != 1], "url string, content string, raw_html string")
     got = [r.content for r in enrich_linked(articles, bodies).orderBy("ord").collect()]
+    assert got == ["full0", "c1", "c2", *[f"full{i}" for i in range(3, 9)]]
+    got = [r.content for r in enrich_linked(articles, bodies, limit=5).orderBy("ord").collect()]
     assert got == ["full0", "c1", "c2", "full3", "full4", "full5", "c6", "c7", "c8"]
 
 
@@ -102,7 +104,7 @@ def test_rank_is_limited_before_the_shuffle(spark):
         [(i, "s", "d", "u", "c", "", True) for i in range(10)],
         "ord long, source string, date string, url string, content string, raw_html string, needs_full_scrape boolean",
     )
-    plan = enrich_linked(articles, articles.select("url", "content", "raw_html").distinct())._jdf.queryExecution().executedPlan().toString()
+    plan = enrich_linked(articles, articles.select("url", "content", "raw_html").distinct(), limit=5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 

@@ -1,3 +1,4 @@
+import html
 import re
 
 import pytest
@@ -96,3 +97,28 @@ def test_html_fields(one):
     page = "<html><head><title> A &amp; B </title><script>var x='<p>';</script></head><article><p>One <b>two<br>three<!-- no --></article>"
     assert one(H.page_title, page) == "A & B"
     assert one(lambda h: H.visible_text(H.body_fragment(h)), page) == "One\ntwo\nthree"
+
+
+ENTITIES = [
+    "It&#8217;s caf&eacute; &amp; bar", "&#x2019;&#X41;&#128;&#0;&#55296;&#9999999;", "&amp;lt; &nbsp;&hellip;&copy 2024",
+    "a & b &; &unheard; &#; &#x;", "no signs", "&lt;p&gt;", "&quot;x&#39;", "&AMP; &amp", "&",
+]
+
+
+@pytest.mark.parametrize("text", ENTITIES)
+def test_entities(one, text):
+    assert one(H.unescape, text) == html.unescape(text)
+
+
+@pytest.mark.parametrize(
+    "page,body",
+    [
+        ("<article>a</article>tail", "a"),
+        ("x<article class='m'>a<article>b</article>c</ARTICLE >tail</article>", "a<article>b</article>c"),
+        ("<article>a<article>b</article><article>c</article>d</article>e", "a<article>b</article><article>c</article>d"),
+        ("<article>open", "open"),
+        ("none", ""),
+    ],
+)
+def test_nested_articles(one, page, body):
+    assert one(H.body_fragment, page) == body
