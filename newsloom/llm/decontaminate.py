@@ -114,7 +114,9 @@ def annotate(
 
     One pass over the documents per block of the benchmark; with more than one
     block each pass is written, so that a lost executor repeats one pass only.
+    ``into`` takes the place of a column of that name.
     """
+    keep = [c for c in keep if c != into]
     pieces = cut_lineage(_pieces(items, item_id, item_text, window))
     df = docs.select(*keep, F.col(text).cast("string").alias(_BODY), F.lit(None).cast(_KIND).alias(_FOUND))
     blocks = _blocks(pieces, window)

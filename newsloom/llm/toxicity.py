@@ -210,7 +210,8 @@ def logistic(points: list[tuple[float, bool, int]], penalty: float = 0.01) -> tu
 def score(
     docs: DataFrame, model: Model, keep: list[str], text: str = "text", into: str = "score"
 ) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with the score of each text."""
+    """Columns ``keep`` of ``docs`` with the score of each text, in place of a column named ``into``."""
+    keep = [c for c in keep if c != into]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     body = f"{into}_text"
 
