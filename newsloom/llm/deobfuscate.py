@@ -43,7 +43,7 @@ SEPARATORS = " .-_*~,/\\"
 #: Costs of the channel, in nats: another sign for a letter, a repeated letter, a separator left out.
 SIGN, REPEAT, GAP = 1.0, 0.5, 0.3
 
-_SINGLES = re.compile(r"(?<![^\s])(?:\S ){2,}\S(?![^\s])")
+_SINGLES = re.compile(r"(?<![^\s(\"'])(?:\S ){2,}\S(?=[\s.,;:!?)\"']|\Z)")
 _TRIPLE = re.compile(r"(.)\1\1")
 _JOINED = re.compile(r"(?:\w[.\-_*~,/\\]){2,}\w")
 
@@ -125,7 +125,7 @@ class Restorer:
             return token
         if (known := self.known.get(token)) is not None:
             return known
-        core = token.strip(".,;:?\"'()[]{}…")
+        core = token.strip(".,;:?\"'()[]{}…").rstrip("!.,;:?\"')]}…")
         letters = sum(map(str.isalpha, core))
         if core.isalpha() and not _TRIPLE.search(core) or not letters:
             found = core

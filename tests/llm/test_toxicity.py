@@ -66,8 +66,8 @@ def test_curve():
 
 
 def test_held_out_labels(spark):
-    """At sf0.01: what the scorer never learnt from."""
-    folder = "/root/testdata/sf0.01"
+    """At sf0.1: what the scorer never learnt from."""
+    folder = "/root/testdata/sf0.1"
     rows = queries.op7_toxicity(spark, folder).collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
