@@ -16,7 +16,6 @@ other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
