@@ -1,5 +1,4 @@
 import html
-import re
 
 import pytest
 
