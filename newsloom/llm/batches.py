@@ -31,11 +31,12 @@ def map_batches(
     finish: bool = False,
     keep: Sequence[str] = (),
     read: Sequence[str] | None = None,
+    arrays: bool = False,
 ) -> DataFrame:
     """Apply ``task()`` (called once per task) to slices of each partition.
 
     The work function gets the columns ``read`` (all that are not kept, by
-    default) and returns columns by name. With ``finish`` it is
+    default; numpy arrays with ``arrays``, else lists) and returns columns by name. With ``finish`` it is
     called once more with no columns at the end of the partition. The output
     has the columns ``keep`` unchanged, for which the function returns the row number of each output row as ``_row``
     where it does not return exactly one row per input row in order.
@@ -61,7 +62,10 @@ def map_batches(
         for batch in batches:
             for rows in slices(batch):
                 wanted = [n for n in rows.schema.names if n not in keep] if read is None else read
-                out = work({n: rows.column(n).to_pylist() for n in wanted})
+                if arrays:
+                    out = work({n: rows.column(n).to_numpy(zero_copy_only=False) for n in wanted})
+                else:
+                    out = work({n: rows.column(n).to_pylist() for n in wanted})
                 for piece in [out] if isinstance(out, dict) else out:
                     yield built(piece, rows)
         if finish:

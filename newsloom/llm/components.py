@@ -30,12 +30,15 @@ def components(edges: DataFrame) -> DataFrame:
     Every round is written to the shared folder. Hot vertices are aggregated
     before the shuffle; the joins on them are equi-joins that Spark may split.
     """
+    # links are often dear to find and are read more than once
+    links, found = cut_and_measure(
+        edges.toDF("u", "v").where(F.col("u") != F.col("v")).distinct(), n=F.count(F.lit(1))
+    )
+    if not found["n"]:
+        return links
     measures = {"n": F.count(F.lit(1)), "s": F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF)))}
-    first = edges.toDF("u", "v").where(F.col("u") != F.col("v"))
-    stars, before = cut_and_measure(_small_star(first), **measures)
+    stars, before = cut_and_measure(_small_star(links), **measures)
     for _ in range(MAX_ROUNDS):
-        if not before["n"]:
-            return stars
         stars, now = cut_and_measure(_small_star(_large_star(stars)), **measures)
         if now == before:
             return stars

@@ -122,7 +122,7 @@ def links(distinct: DataFrame, count: int, distance: int = DISTANCE) -> DataFram
 
         def work(rows: Rows) -> Iterator[Rows]:
             for group in groups.feed(rows):
-                codes = np.array(group["fingerprint"], dtype=np.int64)
+                codes = group["fingerprint"]
                 labels = classes(codes.view(np.uint64), distance)
                 linked = np.flatnonzero(labels != np.arange(len(labels)))
                 if linked.size:
@@ -131,7 +131,7 @@ def links(distinct: DataFrame, count: int, distance: int = DISTANCE) -> DataFram
         return work
 
     near = grouped(distinct.select("fingerprint"), "fingerprint", distance, count)
-    return map_batches(near, "u long, v long", task, finish=True, read=["fingerprint", "_group"])
+    return map_batches(near, "u long, v long", task, finish=True, read=["fingerprint", "_group"], arrays=True)
 
 
 def near_duplicates(

@@ -21,7 +21,9 @@ from ..session import cut_lineage
 #: Rows a group should have on average, from which the number of blocks follows.
 GROUP_ROWS = 2_000
 #: Rows of one tile; a group of more rows is cut into tiles.
-TILE_ROWS = 1_500
+TILE_ROWS = 3_000
+#: Low bits of a group's key, which tell the choice of blocks.
+_CHOICE = (1 << 10) - 1
 #: Hot groups that are sent to every task; more are joined by key.
 HOT_BROADCAST = 10_000
 MAX_BLOCKS = 12
@@ -50,7 +52,13 @@ def grouped(rows: DataFrame, fingerprint: str, distance: int, count: int, order:
     a group is told by equal ``_group``, ``_left`` and ``_right``.
     """
     masks = block_masks(distance, count)
-    nodes = F.array(*[F.xxhash64(F.lit(i), F.col(fingerprint).bitwiseAND(_long(m))) for i, m in enumerate(masks)])
+    low, high = F.lit(_CHOICE).cast("long"), F.lit(~_CHOICE).cast("long")
+    nodes = F.array(
+        *[
+            F.xxhash64(F.lit(i), F.col(fingerprint).bitwiseAND(_long(m))).bitwiseAND(high).bitwiseOR(F.lit(i).cast("long"))
+            for i, m in enumerate(masks)
+        ]
+    )
     spread = rows.withColumn("_group", F.explode(nodes))
     sizes = rows.select(F.explode(nodes).alias("_group")).groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
     hot = cut_lineage(
@@ -69,41 +77,51 @@ def grouped(rows: DataFrame, fingerprint: str, distance: int, count: int, order:
         )
     else:
         spread = spread.withColumns({"_left": F.lit(0), "_right": F.lit(0)})
-    key = F.xxhash64("_group", "_left", "_right")
+    key = F.xxhash64("_group", "_left", "_right").bitwiseAND(high).bitwiseOR(F.col("_group").bitwiseAND(low))
     spread = spread.select(*rows.columns, key.alias("_group"))
     return spread.repartition("_group").sortWithinPartitions(
         "_group", *([order] if order is not None else []), fingerprint
     )
 
 
+def near_pairs(codes: np.ndarray, distance: int, key: int, masks: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a group within ``distance``, in parts; each pair in the first of the groups that both are in."""
+    earlier = np.array(masks[: key & _CHOICE], dtype=np.uint64)
+    for at in range(0, len(codes), 256):
+        near = np.bitwise_count(codes[at : at + 256, None] ^ codes[None, at:]) <= distance
+        left, right = np.nonzero(near)
+        later = right > left
+        left, right = left[later] + at, right[later] + at
+        if left.size and earlier.size:
+            differ = (codes[left] ^ codes[right])[:, None] & earlier
+            first = (differ != 0).all(axis=1)
+            left, right = left[first], right[first]
+        if left.size:
+            yield left, right
+
+
 class Groups:
-    """Cuts a stream of sorted columns into groups, over the borders of batches."""
+    """Cuts a stream of sorted columns (arrays) into groups, over the borders of batches."""
 
     def __init__(self) -> None:
-        self.held: dict[str, list] = {}
-
-    def feed(self, columns: dict[str, list]) -> Iterator[dict[str, list]]:
-        """Complete groups of what was fed so far; feed no columns at the end."""
-        if not columns:
-            if self.held.get("_group"):
-                yield from self._cut(len(self.held["_group"]))
-            return
-        for name, values in columns.items():
-            self.held.setdefault(name, []).extend(values)
-        keys = self.held["_group"]
-        if keys[-1] == keys[0]:
+        self.held: list[dict[str, np.ndarray]] = []
+
+    def feed(self, columns: dict[str, np.ndarray]) -> Iterator[dict[str, np.ndarray]]:
+        """Complete groups of at least two rows among what was fed so far; feed no columns at the end."""
+        if columns:
+            self.held.append(columns)
+            if columns["_group"][-1] == self.held[0]["_group"][0]:
+                return
+        if not self.held:
             return
-        last = np.searchsorted(np.array(keys), keys[-1])
-        yield from self._cut(int(last))
-
-    def _cut(self, end: int) -> Iterator[dict[str, list]]:
-        keys = np.array(self.held["_group"][:end])
-        edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), end]
-        done = self.held
-        self.held = {n: v[end:] for n, v in done.items()}
+        whole = {n: np.concatenate([h[n] for h in self.held]) for n in self.held[0]}
+        keys = whole["_group"]
+        end = int(np.searchsorted(keys, keys[-1])) if columns else len(keys)
+        self.held = [{n: v[end:] for n, v in whole.items()}] if columns else []
+        edges = [0, *(np.flatnonzero(np.diff(keys[:end])) + 1).tolist(), end]
         for a, b in zip(edges, edges[1:], strict=False):
             if b - a > 1:
-                yield {n: v[a:b] for n, v in done.items()}
+                yield {n: v[a:b] for n, v in whole.items()}
 
 
 def join_labels(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
