@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from ..session import ship_package
 
 #: Bytes of a batch that Python turns into objects at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 Rows = dict[str, list]
 

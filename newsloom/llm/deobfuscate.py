@@ -61,7 +61,7 @@ def trigram_counts(text: str) -> np.ndarray:
 class Restorer:
     """Decoder with the model of a corpus; remembers what it has decoded."""
 
-    MOST = 200_000
+    MOST = 100_000
 
     def __init__(self, counts: np.ndarray) -> None:
         three = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS).astype(float)
