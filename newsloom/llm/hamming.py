@@ -61,22 +61,7 @@ def grouped(rows: DataFrame, fingerprint: str, distance: int, count: int, order:
     )
     spread = rows.withColumn("_group", F.explode(nodes))
     sizes = rows.select(F.explode(nodes).alias("_group")).groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    hot = cut_lineage(
-        sizes.where(F.col("_n") > TILE_ROWS).select("_group", F.ceil(F.col("_n") / F.lit(TILE_ROWS)).alias("_tiles"))
-    )
-    found = hot.count()
-    if found:
-        spread = spread.join(F.broadcast(hot) if found <= HOT_BROADCAST else hot, "_group", "left")
-        tiles = F.coalesce(F.col("_tiles"), F.lit(1)).cast("int")
-        own = F.pmod(F.xxhash64(fingerprint, F.lit("tile")), tiles).cast("int")
-        cells = F.transform(
-            F.sequence(F.lit(0), tiles - 1), lambda t: F.struct(F.least(t, own).alias("l"), F.greatest(t, own).alias("r"))
-        )
-        spread = spread.withColumn("_cell", F.explode(cells)).select(
-            *rows.columns, "_group", F.col("_cell.l").alias("_left"), F.col("_cell.r").alias("_right")
-        )
-    else:
-        spread = spread.withColumns({"_left": F.lit(0), "_right": F.lit(0)})
+    spread = _tiled(spread, sizes, fingerprint)
     key = F.xxhash64("_group", "_left", "_right").bitwiseAND(high).bitwiseOR(F.col("_group").bitwiseAND(low))
     spread = spread.select(*rows.columns, key.alias("_group"))
     return spread.repartition("_group").sortWithinPartitions(
@@ -84,6 +69,34 @@ def grouped(rows: DataFrame, fingerprint: str, distance: int, count: int, order:
     )
 
 
+def together(rows: DataFrame, order: str) -> DataFrame:
+    """``rows`` that share a ``_group`` together and in order, those of a large one once per tile pair."""
+    names = [c for c in rows.columns if c != "_group"]
+    tiled = _tiled(rows, rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")), order)
+    tiled = tiled.select(*names, F.xxhash64("_group", "_left", "_right").alias("_group"))
+    return tiled.repartition("_group").sortWithinPartitions("_group", order)
+
+
+def _tiled(spread: DataFrame, sizes: DataFrame, by: str) -> DataFrame:
+    """``spread`` with the tiles ``_left`` and ``_right`` of each row, one row per tile pair in hot groups."""
+    names = [c for c in spread.columns if c != "_group"]
+    hot = cut_lineage(
+        sizes.where(F.col("_n") > TILE_ROWS).select("_group", F.ceil(F.col("_n") / F.lit(TILE_ROWS)).alias("_tiles"))
+    )
+    found = hot.count()
+    if not found:
+        return spread.withColumns({"_left": F.lit(0), "_right": F.lit(0)})
+    spread = spread.join(F.broadcast(hot) if found <= HOT_BROADCAST else hot, "_group", "left")
+    tiles = F.coalesce(F.col("_tiles"), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64(by, F.lit("tile")), tiles).cast("int")
+    cells = F.transform(
+        F.sequence(F.lit(0), tiles - 1), lambda t: F.struct(F.least(t, own).alias("l"), F.greatest(t, own).alias("r"))
+    )
+    return spread.withColumn("_cell", F.explode(cells)).select(
+        *names, "_group", F.col("_cell.l").alias("_left"), F.col("_cell.r").alias("_right")
+    )
+
+
 def near_pairs(codes: np.ndarray, distance: int, key: int, masks: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a group within ``distance``, in parts; each pair in the first of the groups that both are in."""
     earlier = np.array(masks[: key & _CHOICE], dtype=np.uint64)

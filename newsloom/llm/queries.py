@@ -73,7 +73,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document that is left: its text's digest and the lines that went."""
-    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), distance=None)
     return left.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),

@@ -261,3 +261,35 @@ def test_lines_of_odd_rows(odd, none):
     del want[(5, ODD[4][1])]
     assert got == want
     assert line_dedup.dedup_lines(none).count() == 0
+
+
+def changed_lines(n, seed):
+    """A line of ``n`` words and the same with every tenth word, at least one, of equal length changed."""
+    rng = np.random.default_rng(seed)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(n)]
+    other = list(words)
+    for at in rng.choice(n, max(1, n // 10), replace=False):
+        other[at] = other[at][::-1] if other[at] != other[at][::-1] else "zzzzz"
+    return " ".join(words), " ".join(other)
+
+
+@pytest.mark.parametrize("n", [5, 8, 13, 20, 50, 120])
+def test_similar_lines_are_candidates(n):
+    found = 0
+    for seed in range(200):
+        lines = [x.encode().split() for x in changed_lines(n, seed)]
+        counts = np.array([n, n])
+        hashes = line_dedup.word_hashes(lines, counts)
+        grams, prints = line_dedup.line_grams(hashes, counts), line_dedup.prints_of(hashes, counts)
+        size = np.full(2, 6 * n - 1)
+        pairs = line_dedup.open_pairs({"print": np.array(prints), "size": size}, 0.8)
+        found += bool(set(grams[0]) & set(grams[1])) and any(left.size for left, _ in pairs)
+    assert found >= 0.95 * 200
+
+
+def test_query_links_lines_with_a_changed_word(spark, tmp_path):
+    texts = [x for n in (5, 8, 20, 50) for x in changed_lines(n, n)]
+    assert all(similar(a, b, 0.8) for a, b in zip(texts[::2], texts[1::2], strict=True))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    left = queries.op6_line_dedup(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in left) == [0, 2, 4, 6]
