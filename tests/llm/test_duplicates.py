@@ -293,3 +293,12 @@ def test_query_links_lines_with_a_changed_word(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     left = queries.op6_line_dedup(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in left) == [0, 2, 4, 6]
+
+
+def test_lines_of_other_numbers_stay(spark):
+    rows = [
+        (1, "12,34,56,78,90\n2024-01-02 10:11:12 the disk is at 17 percent of its whole room"),
+        (2, "21,43,65,87,11\n2024-01-02 10:11:13 the disk is at 18 percent of its whole room\n12;34;56;78;90"),
+    ]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), distance=None).collect()
+    assert {r.doc_id: r.removed_lines for r in got} == {1: None, 2: [1, 2]}
