@@ -302,3 +302,11 @@ def test_lines_of_other_numbers_stay(spark):
     ]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), distance=None).collect()
     assert {r.doc_id: r.removed_lines for r in got} == {1: None, 2: [1, 2]}
+
+
+def test_documents_stay_with_short_lines_of_their_own(spark):
+    footer = "this footer stands under all of the texts"
+    rows = [(1, f"a verse\n{footer}"), (2, f"another verse\n{footer}"), (3, f"a verse\n\n{footer}"), (4, f" \n{footer}")]
+    rows += [(5, f"shared\n{footer}"), (6, f"shared\n{footer}")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), distance=None).collect()
+    assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "another verse", 5: "shared"}
