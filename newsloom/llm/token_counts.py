@@ -75,7 +75,9 @@ def count_spliced(text: str, model, chunk: int = HUGE, overlap: int = OVERLAP) -
             width *= 2
         if splice is None:
             chunk, end = 2 * chunk, high
-            begins = encode(start, end)
+            # from a character before start, as the model puts a space of its own in front of what it is given
+            begins = encode(_character(data, start - 1) if start else 0, end)
+            begins = begins[bisect_left(begins, start) :]
             continue
         total += bisect_left(begins, splice)
         begins = following[bisect_left(following, splice) :]

@@ -163,3 +163,10 @@ def test_spliced_counts_of_any_text(text):
 
 def test_model_pieces_never_cross_a_space():
     assert token_counts.splittable(PIECE_BPE) and public_tokenizers.path("piece_bpe_32k.model") == PIECE_BPE
+
+
+@pytest.mark.parametrize("chunk", [64, 100, 300])
+@pytest.mark.parametrize("text", ["hello there world " + "x" * 1000, "hello there " * 20 + "x" * 900, "é ü " * 90 + "日本語" * 400 + " end of it"])
+def test_spaceless_run_behind_spaced_text(text, chunk):
+    model = piece_bpe(PIECE_BPE)
+    assert token_counts.count_spliced(text, model, chunk, 8) == len(model.encode(text))
