@@ -557,7 +557,7 @@ def q_staged_run(spark, d):
     """Listing pages taken through all stages of one day."""
     base = _scratch(spark)
     _listing(spark, d).drop("source", "path").write.parquet(f"{base}/pages")
-    settings = Settings(threshold=1.0)
+    settings = Settings()
     flow.run_stages(spark, base, I.DATE, ("extract", "prompt"), settings=settings)
     asked = spark.read.parquet(f"{base}/prompts")
     response = F.concat(F.lit("TITLE: "), "title", F.lit("\nMETA_DESCRIPTION: about\nBODY:\n"), "content")

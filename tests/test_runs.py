@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from newsloom.plans import queries
 from newsloom.plans.flow import run_stages
 from newsloom.plans.settings import Settings
 from newsloom.sources.published import read_manifest
@@ -80,3 +82,16 @@ def test_incremental(spark, tmp_path):
     assert run() == first
     drop("s2", "Beta", "Gamma")
     assert run() == [*first, ("best_bets_gamma", "1")]
+
+
+def test_staged_run_is_registered_with_title_similarity(spark, monkeypatch):
+    asked = []
+
+    def stop(*args, settings, **kwargs):
+        asked.append(settings)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.flow, "run_stages", stop)
+    with pytest.raises(InterruptedError):
+        queries.q_staged_run(spark, "/root/testdata/sf0.001")
+    assert asked == [Settings()]
