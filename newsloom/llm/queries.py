@@ -13,10 +13,12 @@ from . import (
     gray_index,
     licences,
     line_dedup,
+    merge_replay,
     packing,
     secrets,
     token_counts,
     toxicity,
+    whitening,
     winnow,
 )
 from .inputs import table
@@ -134,6 +136,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = merge_replay.encode(table(spark, sf_dir, "documents"))
+    decoded = merge_replay.decode(encoded, keep=["doc_id", "ids"])
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -146,6 +163,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licences": op8_licences,
         "op9_secrets": op9_secrets,
         "op10_simhash": op10_simhash,
+        "op11_byte_bpe": op11_byte_bpe,
+        "op13_whitening": op13_whitening,
     }
 
 
