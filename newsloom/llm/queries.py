@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     best_fit,
+    conversation_repair,
     decontaminate,
     gray_index,
     licences,
@@ -147,6 +148,45 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or under another role, as told by a checksum."""
+    kept = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.col("_kind")
+    rows = rows.withColumn("_kind", F.pmod(F.crc32(F.concat_ws(":", *kept)), F.lit(20)))
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    return (
+        rows.where(kind != 0)
+        .select(
+            "conv_id",
+            "turn",
+            F.when(kind == 4, "user").otherwise(role).alias("role"),
+            F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+            F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
+        )
+        .drop("_copy")
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_rows(rows)
+
+
+def conversation_rows(rows: DataFrame) -> DataFrame:
+    """What ``op12_conversation_repair`` returns of a table; conversations that lost all rows have zeros."""
+    found, edits = conversation_repair.repair(damaged(rows))
+    out = rows.select(F.col("conv_id").alias("_conv")).distinct()
+    for part in (found, conversation_repair.digests(edits)):
+        out = out.join(part, F.col("_conv").eqNullSafe(part["conv_id"]), "left").drop(part["conv_id"])
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        F.col("_conv").alias("conv_id"),
+        *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -164,6 +204,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": op9_secrets,
         "op10_simhash": op10_simhash,
         "op11_byte_bpe": op11_byte_bpe,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_whitening": op13_whitening,
     }
 
