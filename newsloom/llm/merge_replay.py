@@ -42,9 +42,9 @@ from .batches import slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of text whose words are replayed together.
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 8_000_000
 #: Words a task remembers, about 200 bytes each.
-MOST_WORDS = 600_000
+MOST_WORDS = 400_000
 #: Characters of a text of which the words are taken at once.
 LONG_TEXT = 4_000_000
 #: Values of a result batch.
@@ -140,7 +140,8 @@ class Replay:
         while self.queue:
             rank = heapq.heappop(self.queue)
             found = self.index.pop(rank)
-            places = np.unique(np.concatenate(found)) if len(found) > 1 else np.sort(found[0])
+            places = np.sort(np.concatenate(found))
+            places = places[np.append(True, places[1:] != places[:-1])]
             self._merge(rank, places)
         left = np.flatnonzero(self.alive)
         return self.ids[left], np.bincount(self.word[left], minlength=int(self.word.max(initial=-1)) + 1)
@@ -176,7 +177,7 @@ class Replay:
         self.before[self.total] = self.total
         left = self.before[places]
         around = np.append(places, left[left != self.total])
-        self._file(np.unique(around) if around.size > 1 else around)
+        self._file(around)
 
     def _lower(self, rank: int, places: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Where a merge, done before those to the right of it, makes a pair of lower rank."""
@@ -319,4 +320,5 @@ def decode(rows: DataFrame, ids: str = "ids", keep: Sequence[str] = ("doc_id",),
                     [*part.columns[: len(keep)], pa.array(own, type=arrow.field(into).type)], schema=arrow
                 )
 
-    return rows.select(*keep, F.col(ids).cast("array<long>").alias("_ids")).mapInArrow(run, full)
+    whole = F.col(ids) if rows.schema[ids].dataType.simpleString() == "array<int>" else F.col(ids).cast("array<long>")
+    return rows.select(*keep, whole.alias("_ids")).mapInArrow(run, full)
