@@ -61,7 +61,7 @@ def grouped(rows: DataFrame, fingerprint: str, distance: int, count: int, order:
     )
     spread = rows.withColumn("_group", F.explode(nodes))
     sizes = rows.select(F.explode(nodes).alias("_group")).groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    spread = _tiled(spread, sizes, fingerprint)
+    spread = tiled(spread, sizes, fingerprint)
     key = F.xxhash64("_group", "_left", "_right").bitwiseAND(high).bitwiseOR(F.col("_group").bitwiseAND(low))
     spread = spread.select(*rows.columns, key.alias("_group"))
     return spread.repartition("_group").sortWithinPartitions(
@@ -69,19 +69,12 @@ def grouped(rows: DataFrame, fingerprint: str, distance: int, count: int, order:
     )
 
 
-def together(rows: DataFrame, order: str) -> DataFrame:
-    """``rows`` that share a ``_group`` together and in order, those of a large one once per tile pair."""
-    names = [c for c in rows.columns if c != "_group"]
-    tiled = _tiled(rows, rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")), order)
-    tiled = tiled.select(*names, F.xxhash64("_group", "_left", "_right").alias("_group"))
-    return tiled.repartition("_group").sortWithinPartitions("_group", order)
-
-
-def _tiled(spread: DataFrame, sizes: DataFrame, by: str) -> DataFrame:
+def tiled(spread: DataFrame, sizes: DataFrame, by: str, tile_rows: int | None = None) -> DataFrame:
     """``spread`` with the tiles ``_left`` and ``_right`` of each row, one row per tile pair in hot groups."""
+    tile_rows = tile_rows or TILE_ROWS
     names = [c for c in spread.columns if c != "_group"]
     hot = cut_lineage(
-        sizes.where(F.col("_n") > TILE_ROWS).select("_group", F.ceil(F.col("_n") / F.lit(TILE_ROWS)).alias("_tiles"))
+        sizes.where(F.col("_n") > tile_rows).select("_group", F.ceil(F.col("_n") / F.lit(tile_rows)).alias("_tiles"))
     )
     found = hot.count()
     if not found:

@@ -4,14 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 #: Columns of a key: the id and a hash of the whole row, and the same under other names.
 ID, ROW = "_key_id", "_key_row"
+#: The row itself, in one column, so that no other name of an operator can be one of its columns.
+DOC = "_doc"
+
+
+def _hashable(kind: DataType) -> bool:
+    if isinstance(kind, (MapType, VariantType)):
+        return False
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, StructType) or all(_hashable(f.dataType) for f in kind.fields)
+
+
+def _plain(df: DataFrame, name: str) -> Column:
+    """A column, or its JSON where Spark has no hash for its type."""
+    column = F.col(f"`{name}`")
+    return column if _hashable(df.schema[name].dataType) else F.to_json(F.struct(column))
 
 
 def with_key(df: DataFrame, doc_id: str) -> DataFrame:
     """``df`` with columns that identify its rows; only rows equal in every column share a key."""
-    return df.withColumns({ID: F.col(doc_id), ROW: F.xxhash64(*[F.col(c) for c in df.columns])})
+    return df.withColumns({ID: F.col(doc_id), ROW: F.xxhash64(*[_plain(df, c) for c in df.columns])})
+
+
+def packed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``df`` as ``DOC``, their keys, and ``_text``; no other columns."""
+    return df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(DOC),
+        F.col(f"`{doc_id}`").alias(ID),
+        F.xxhash64(*[_plain(df, c) for c in df.columns]).alias(ROW),
+        F.col(f"`{text}`").cast("string").alias("_text"),
+    )
 
 
 def renamed(df: DataFrame) -> DataFrame:
