@@ -4,6 +4,8 @@ The general extractor is :mod:`newsloom.operators.extract`; these expressions
 cover the common fields without leaving the engine.
 """
 
+import json
+from functools import lru_cache
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -21,9 +23,20 @@ _ENTITY = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 _UNKNOWN = "\ufffd"
 
 
-def _named() -> Column:
-    """Signs by entity name, as HTML 5 defines them; built from Python's own table."""
-    return F.create_map(*[F.lit(x) for pair in sorted(html5.items()) for x in pair])
+#: Names that nearly all references of real pages are among; they are looked up first.
+_COMMON = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "mdash;", "ndash;", "rsquo;", "lsquo;", "rdquo;", "ldquo;", "hellip;")
+
+
+@lru_cache(maxsize=1)
+def _names_json() -> str:
+    return json.dumps(html5, sort_keys=True)
+
+
+def _named(name: Column) -> Column:
+    """Sign of an entity name, as HTML 5 defines it; from Python's own table, which is one literal of the plan."""
+    few = F.create_map(*[F.lit(x) for n in _COMMON for x in (n, html5[n])])
+    every = F.from_json(F.lit(_names_json()), "map<string,string>")
+    return F.coalesce(F.try_element_at(few, name), F.try_element_at(every, name))
 
 
 def _old_numbers() -> dict[int, str]:
@@ -31,7 +44,7 @@ def _old_numbers() -> dict[int, str]:
     return {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
 
 
-def _decoded(entity: Column, names: Column) -> Column:
+def _decoded(entity: Column) -> Column:
     hexadecimal = F.regexp_extract(entity, r"^&#[xX]0*([0-9a-fA-F]{1,8});?$", 1)
     decimal = F.regexp_extract(entity, r"^&#0*([0-9]{1,10});?$", 1)
     number = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(F.nullif(decimal, F.lit(""))).cast("bigint")
@@ -45,7 +58,7 @@ def _decoded(entity: Column, names: Column) -> Column:
     name = F.substring(entity, F.lit(2), F.length(entity))
     return F.when(
         F.substring(entity, F.lit(2), F.lit(1)) == "#", F.coalesce(bind(number, sign), F.lit(_UNKNOWN))
-    ).otherwise(F.coalesce(F.try_element_at(names, name), entity))
+    ).otherwise(F.coalesce(_named(name), entity))
 
 
 def unescape(c) -> Column:
@@ -54,8 +67,7 @@ def unescape(c) -> Column:
     As in browsers, the old names also count without their semicolon.
     """
     text = as_col(c)
-    names = _named()
-    found = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), lambda e: _decoded(e, names))
+    found = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), _decoded)
     between = F.split(text, _ENTITY, -1)
     joined = F.array_join(
         F.transform(F.arrays_zip(between.alias("a"), found.alias("b")), lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit("")))),
