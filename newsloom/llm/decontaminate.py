@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 from ..session import cut_and_measure, cut_lineage
 from .automaton import SuffixAutomaton
 from .batches import Rows, map_batches
+from .row_keys import DOC, as_row, from_row, unused
 from .words import word_bytes, word_spans
 
 WINDOW = 10
@@ -118,18 +119,20 @@ def annotate(
     """
     keep = [c for c in keep if c != into]
     pieces = cut_lineage(_pieces(items, item_id, item_text, window))
-    df = docs.select(*keep, F.col(text).cast("string").alias(_BODY), F.lit(None).cast(_KIND).alias(_FOUND))
+    df = docs.select(
+        as_row(keep).alias(DOC), F.col(f"`{text}`").cast("string").alias(_BODY), F.lit(None).cast(_KIND).alias(_FOUND)
+    )
     blocks = _blocks(pieces, window)
     block = next(blocks)
     while block:
         sent = docs.sparkSession.sparkContext.broadcast(block)
         block = next(blocks, None)
         df = map_batches(
-            df, f"_leak_now {_KIND}", _scan(sent, window), keep=[*keep, _BODY] if block else keep, read=[_BODY, _FOUND]
+            df, f"_leak_now {_KIND}", _scan(sent, window), keep=[DOC, _BODY] if block else [DOC], read=[_BODY, _FOUND]
         ).withColumnRenamed("_leak_now", _FOUND)
         if block:
             df = cut_lineage(df)
-    return df.withColumnRenamed(_FOUND, into)
+    return df.select(*from_row(keep), F.col(_FOUND).alias(into))
 
 
 _KIND = "struct<n_words: bigint, spans: array<struct<first: bigint, last: bigint>>, items: array<string>>"
@@ -207,22 +210,22 @@ def decontaminate(
         sent = docs.sparkSession.sparkContext.broadcast(next(_blocks(pieces, window)))
         work = _clean(sent, text, window, max_span, max_coverage)
         return map_batches(docs, schema, work, keep=others).select(docs.columns)
-    df, first = docs, True
+    df, first, leak = docs, True, unused("_leak", docs.columns)
     while True:
-        long_spans = F.filter("_leak.spans", lambda s: s["last"] - s["first"] >= max_span)
-        found = annotate(df, items, docs.columns, text, item_id, item_text, window, "_leak")
+        long_spans = F.filter(F.col(leak)["spans"], lambda s: s["last"] - s["first"] >= max_span)
+        found = annotate(df, items, docs.columns, text, item_id, item_text, window, leak)
         found, seen = cut_and_measure(found, hit=F.count(F.when(F.size(long_spans) > 0, 1)))
         if not seen["hit"]:
             return found.select(docs.columns)
-        work = _cut_found(text, max_span, max_coverage if first else 1.0)
-        df, first = map_batches(found, schema, work, keep=others, read=[text, "_leak"]).select(docs.columns), False
+        work = _cut_found(text, leak, max_span, max_coverage if first else 1.0)
+        df, first = map_batches(found, schema, work, keep=others, read=[text, leak]).select(docs.columns), False
 
 
-def _cut_found(text: str, max_span: int, max_coverage: float):
+def _cut_found(text: str, leak_name: str, max_span: int, max_coverage: float):
     def task():
         def work(rows: Rows) -> Rows:
             out: Rows = {text: [], "_row": []}
-            for number, (body, leak) in enumerate(zip(rows[text], rows["_leak"], strict=True)):
+            for number, (body, leak) in enumerate(zip(rows[text], rows[leak_name], strict=True)):
                 spans = [(s["first"], s["last"]) for s in leak["spans"]]
                 if sum(b - a for a, b in spans) > max_coverage * leak["n_words"]:
                     continue

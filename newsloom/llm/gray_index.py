@@ -29,7 +29,7 @@ from ..session import cut_and_measure, cut_lineage
 from .batches import Rows, map_batches
 from .components import components
 from .hamming import Groups, grouped, join_labels
-from .row_keys import ID, ROW, renamed, same_key, with_key
+from .row_keys import ID, ROW, from_row, packed, renamed, same_key
 from .simhash import shingle_fingerprint, signed
 
 SHINGLE = 4
@@ -175,8 +175,8 @@ def keep_one(
 
     Rows equal in every column are one document.
     """
-    keyed = with_key(docs, doc_id)
-    thin = keyed.select(ID, ROW, F.col(text).cast("string").alias("_text"))
+    keyed = packed(docs, doc_id, text)
+    thin = keyed.select(ID, ROW, "_text")
 
     def task():
         return lambda rows: {"fingerprint": [signed(shingle_fingerprint(t, shingle)) for t in rows["_text"]]}
@@ -192,4 +192,4 @@ def keep_one(
     left = keyed.join(F.broadcast(drop) if seen["n"] <= DROP_BROADCAST else drop, same_key(), "left_anti")
     if marked.groupBy(ID, ROW).count().where("count > 1").limit(1).count():
         left = left.dropDuplicates([ID, ROW])
-    return left.select(docs.columns)
+    return left.select(from_row(docs.columns))

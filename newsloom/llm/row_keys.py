@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
@@ -12,6 +14,24 @@ ID, ROW = "_key_id", "_key_row"
 DOC = "_doc"
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """``name``, or longer, so that no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def as_row(columns: Sequence[str]) -> Column:
+    """The columns as one, without their names."""
+    return F.struct(F.lit(True).alias("row"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def from_row(columns: Sequence[str]) -> list[Column]:
+    """The columns that ``as_row`` took in as ``DOC``."""
+    return [F.col(DOC)[f"c{i}"].alias(c) for i, c in enumerate(columns)]
+
+
 def _hashable(kind: DataType) -> bool:
     if isinstance(kind, (MapType, VariantType)):
         return False
@@ -26,15 +46,10 @@ def _plain(df: DataFrame, name: str) -> Column:
     return column if _hashable(df.schema[name].dataType) else F.to_json(F.struct(column))
 
 
-def with_key(df: DataFrame, doc_id: str) -> DataFrame:
-    """``df`` with columns that identify its rows; only rows equal in every column share a key."""
-    return df.withColumns({ID: F.col(doc_id), ROW: F.xxhash64(*[_plain(df, c) for c in df.columns])})
-
-
 def packed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The rows of ``df`` as ``DOC``, their keys, and ``_text``; no other columns."""
+    """The rows of ``df`` as ``DOC``, their keys, and ``_text``; no other columns. Only rows equal in every column share a key."""
     return df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(DOC),
+        as_row(df.columns).alias(DOC),
         F.col(f"`{doc_id}`").alias(ID),
         F.xxhash64(*[_plain(df, c) for c in df.columns]).alias(ROW),
         F.col(f"`{text}`").cast("string").alias("_text"),

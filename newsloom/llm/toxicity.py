@@ -26,12 +26,11 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .batches import Rows, map_batches
 from .deobfuscate import SYMBOLS, Restorer, trigram_counts
+from .row_keys import unused
 
 THRESHOLD = 0.3
 #: Labelled rows the scorer is fitted on at most, the first by a hash of their id.
 MAX_LABELLED = 200_000
-#: Features the scorer keeps at most, those of the most toxic documents.
-MAX_FEATURES = 50_000
 #: Toxic documents a feature must stand in, and its least log-odds.
 LEAST_TOXIC, LEAST_WEIGHT = 3, 2.5
 #: Lengths of word beginnings that are features.
@@ -163,7 +162,8 @@ def fit(
     every = features.select(F.concat(F.lit("="), "word").alias("word"), "a", "b").union(beginnings)
     odds = F.log((F.col("a") + 0.2) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (other + 1))
     strong = every.where((F.col("a") >= LEAST_TOXIC) & (odds >= LEAST_WEIGHT / 2))
-    strong = strong.orderBy(F.desc("a"), "word").limit(MAX_FEATURES).collect()
+    # bounded by the words of the labelled rows, which are bounded themselves
+    strong = strong.collect()
     model = Model(characters, {r["word"]: (r["a"], r["b"]) for r in strong}, toxic, other, rate=rate)
     sent = spark.sparkContext.broadcast(model)
 
@@ -212,7 +212,7 @@ def score(
     """Columns ``keep`` of ``docs`` with the score of each text, in place of a column named ``into``."""
     keep = [c for c in keep if c != into]
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    body = f"{into}_text"
+    body = unused(f"{into}_text", keep)
 
     def task():
         known = sent.value

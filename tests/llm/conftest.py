@@ -21,7 +21,9 @@ ODD = [
 #: Columns whose names operators use for their own results.
 CLASHING = [
     "start", "length", "rank", "task", "hash", "print", "pos", "line", "n_words", "spans", "labels", "score",
-    "fingerprint", "component_id", "removed_lines", "leak", "words", "u", "v", "n_chars",
+    "fingerprint", "component_id", "removed_lines", "leak", "words", "u", "v", "n_chars", "keys", "size", "key", "ids", "decoded",
+    "_repeats", "_gone", "_left", "_removed", "_doc", "_text", "_row", "_key_id", "_key_row", "_key_id2", "_group", "_band", "_hot",
+    "_leak_text", "_leak_found", "_leak", "_kept", "_n", "first", "root", "_linked", "_toxicity",
 ]
 
 
@@ -31,7 +33,8 @@ def odd(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     for name in CLASHING:
         schema = schema.add(name, T.StringType())
-    return spark.createDataFrame([(*row, *["x"] * len(CLASHING)) for row in ODD], schema)
+    schema = schema.add("of any kind", T.MapType(T.StringType(), T.IntegerType()))
+    return spark.createDataFrame([(*row, *["x"] * len(CLASHING), {"a": 1}) for row in ODD], schema)
 
 
 @pytest.fixture(scope="session")

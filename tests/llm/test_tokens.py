@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -108,7 +109,7 @@ def test_matrices_hold_every_id_once(odd, none, bpe):
     assert len({r.sequence_id for r in rows}) == len(rows)
     for r, row, place in zip(rows, ids, positions, strict=True):
         assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_ids and (row[r.n_ids :] == 9).all()
-        for a, b, s in zip(r.cu_seqlens, r.cu_seqlens[1:], r.segments, strict=True):
+        for (a, b), s in zip(pairwise(r.cu_seqlens), r.segments, strict=True):
             assert place[a:b].tolist() == list(range(b - a)) and s.length == b - a
             got[s.doc_id, s.start, tuple(row[a:b].tolist())] += 1
     want = Counter()
