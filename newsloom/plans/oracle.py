@@ -183,11 +183,69 @@ REPEATS = f"""
 SELECT page_id * 10 + i AS ord, CASE i WHEN 2 THEN concat(url, '#2') ELSE url END AS url
 FROM pages, (VALUES (0), (1), (2)) v(i)"""
 
+PAGE_TITLE = _strip(_unescape(r"regexp_extract(html, '(?is)<title[^>]*>(.*?)</title\s*>', 1)"))
+WITH_REPEATS = f"""
+SELECT page_id * 10 + i AS ord, CASE i WHEN 2 THEN concat(url, '#2') ELSE url END AS url,
+       CASE i WHEN 0 THEN title WHEN 1 THEN concat(title, 'x') ELSE left(title, greatest(length(title) - 3, 0)) END AS title
+FROM (SELECT page_id, url, {PAGE_TITLE} AS title FROM pages), (VALUES (0), (1), (2)) v(i)"""
+
 # first row per lower-case title, as all URLs differ and blank titles never match
 EXACT = f"""
 SELECT *, lower(title) = '' OR row_number() OVER (PARTITION BY lower(title) ORDER BY ord) = 1 AS kept
 FROM ({TITLED})"""
 
+
+def _matching(a: str, b: str) -> str:
+    """Length of the longest block that two texts share."""
+    some = lambda k: f"list_filter(range(1, length({a}) - {k} + 2), lambda i: contains({b}, substr({a}, i, {k})))"
+    return f"coalesce(list_max(list_filter(range(1, least(length({a}), length({b})) + 1), lambda k: len({some('k')}) > 0)), 0)"
+
+
+def _similar(titles: str, threshold: str = "0.85::DOUBLE") -> str:
+    """CTEs up to ``alike(a, b)``: pairs of distinct lower-case titles ``titles(t)`` whose matching blocks reach the threshold.
+
+    Matching blocks are found as the standard library does: the longest one, then those on either side of it. For
+    titles below 200 characters, beyond which that library leaves frequent characters out.
+    """
+    # of blocks of one length the first in the one, then in the other
+    head = "list_filter(range(1, length(sa) - k + 2), lambda i: contains(sb, substr(sa, i, k)))[1]"
+    cut = "substr(sa, head, k)"
+    return f"""
+titles_ AS MATERIALIZED (SELECT DISTINCT t FROM ({titles}) WHERE t <> ''),
+near AS MATERIALIZED (
+  SELECT x.t AS a, y.t AS b, row_number() OVER () AS pair, length(x.t) + length(y.t) AS n
+  FROM titles_ x JOIN titles_ y ON x.t <> y.t AND 2.0::DOUBLE * least(length(x.t), length(y.t)) >= {threshold} * (length(x.t) + length(y.t))
+  WHERE levenshtein(x.t, y.t) <= n - 2 * ceil(n * {threshold} / 2 - 1e-9)),
+parts(pair, sa, sb) AS (
+  SELECT pair, a, b FROM near
+  UNION ALL
+  SELECT pair, unnest([substr(sa, 1, head - 1), substr(sa, head + k)]), unnest([substr(sb, 1, strpos(sb, {cut}) - 1), substr(sb, strpos(sb, {cut}) + k)])
+  FROM (SELECT *, {head} AS head FROM (SELECT *, {_matching("sa", "sb")} AS k FROM parts WHERE sa <> '' AND sb <> '')) WHERE k > 0),
+matched AS MATERIALIZED (SELECT pair, sum({_matching("sa", "sb")}) AS m FROM parts WHERE sa <> '' AND sb <> '' GROUP BY pair),
+alike AS MATERIALIZED (SELECT a, b FROM near JOIN matched USING (pair) WHERE 2.0::DOUBLE * m / n >= {threshold})"""
+
+
+def _one_loop(rows: str, tag: str = "") -> str:
+    """CTEs up to ``kept(rn)``: ``rows(rn, title, url)`` walked through in order, from 1, against what is kept; needs ``alike``.
+
+    ``tag`` is part of the names where there are two walks.
+    """
+    return f"""
+rows_{tag} AS MATERIALIZED (SELECT rn, lower(coalesce(title, '')) AS t, coalesce(url, '') AS u FROM ({rows})),
+blocks{tag} AS MATERIALIZED (
+  SELECT rn, list_distinct(list(other)) AS others FROM (
+    SELECT x.rn, y.rn AS other FROM rows_{tag} x JOIN rows_{tag} y ON x.u = y.u AND x.u <> '' AND y.rn < x.rn
+    UNION ALL SELECT x.rn, y.rn FROM rows_{tag} x JOIN rows_{tag} y ON x.t = y.t AND x.t <> '' AND y.rn < x.rn
+    UNION ALL SELECT x.rn, y.rn FROM rows_{tag} x JOIN alike s ON s.a = x.t JOIN rows_{tag} y ON y.t = s.b AND y.rn < x.rn) GROUP BY rn),
+steps{tag} AS MATERIALIZED (SELECT rn, coalesce(others, []) AS others FROM rows_{tag} LEFT JOIN blocks{tag} USING (rn)),
+walk{tag}(rn, names) AS (
+  SELECT 0::BIGINT, []::BIGINT[]
+  UNION ALL
+  SELECT s.rn, CASE WHEN list_has_any(s.others, names) THEN names ELSE list_append(names, s.rn) END FROM walk{tag} JOIN steps{tag} s ON s.rn = walk{tag}.rn + 1),
+kept{tag} AS MATERIALIZED (SELECT unnest(names) AS rn FROM walk{tag} WHERE rn = (SELECT max(rn) FROM walk{tag}))"""
+
+
+
 _FRONT = rf"(?s)\A---{SP}*\n(.*?)\n---{SP}*\n(.*)\z"
 
 
@@ -345,10 +403,9 @@ WITH f AS (SELECT page_id, regexp_extract(html, '(?s)<article>.*?</article>') AS
 SELECT page_id, {_text("f")} AS content, length(f) AS n_raw FROM f"""
     q["enrich_linked"] = f"""
 WITH a AS (SELECT page_id AS ord, {HOST} AS source, html, page_id % 3 > 0 AS flag FROM pages),
-r AS (SELECT *, CASE WHEN flag THEN row_number() OVER (PARTITION BY source, flag ORDER BY ord) END AS rank FROM a),
-b AS (SELECT *, regexp_extract(html, '(?s)<article>.*?</article>') AS f FROM r)
-SELECT ord, source, md5(CASE WHEN rank <= 5 THEN {_text("f")} ELSE left(html, 40) END) AS content_md5,
-  CASE WHEN rank <= 5 THEN length(f) ELSE 0 END AS n_raw FROM b"""
+b AS (SELECT *, regexp_extract(html, '(?s)<article>.*?</article>') AS f FROM a)
+SELECT ord, source, md5(CASE WHEN flag THEN {_text("f")} ELSE left(html, 40) END) AS content_md5,
+  CASE WHEN flag THEN length(f) ELSE 0 END AS n_raw FROM b"""
     q["sport_counts"] = f"SELECT {_SPORT} AS sport, count(*) AS records FROM ({LISTING}) GROUP BY 1"
 
     q["seed_urls"] = f"""
@@ -371,6 +428,13 @@ SELECT page_id, host,
 SELECT ord, 2.0::DOUBLE * length(title) / (2 * length(title) + 1) AS ratio FROM ({TITLED})"""
     q["repeated_urls"] = f"""
 SELECT ord, first_ord, url FROM (SELECT ord, url, min(ord) OVER (PARTITION BY url) AS first_ord FROM ({REPEATS})) WHERE ord > first_ord"""
+    q["similar_title_pairs"] = f"""
+WITH RECURSIVE r AS ({WITH_REPEATS}), first AS (SELECT lower(title) AS t, min(ord) AS ord FROM r GROUP BY 1), {_similar("SELECT lower(title) AS t FROM r")}
+SELECT a AS title, b AS earlier_title FROM alike JOIN first x ON x.t = a JOIN first y ON y.t = b WHERE y.ord < x.ord"""
+    q["dedup_fuzzy"] = f"""
+WITH RECURSIVE r AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY ord) AS rn FROM ({WITH_REPEATS})), {_similar("SELECT lower(title) AS t FROM r")},
+{_one_loop("SELECT * FROM r")}
+SELECT ord, url, title FROM r JOIN kept USING (rn)"""
     q["records_per_source"] = "SELECT source, count(*) AS records FROM documents GROUP BY source"
 
     q["merge_keywords"] = f"""
@@ -445,13 +509,24 @@ FROM pages WHERE page_id % 6 < 2"""
 
     # files are taken by source, then in the order of their articles
     q["incremental_run"] = f"""
-WITH once AS (SELECT * FROM ({RAW}) QUALIFY row_number() OVER (PARTITION BY title ORDER BY source, ord) = 1),
-r AS (SELECT ord, coalesce(category, 'best_bets') AS kind,
+WITH RECURSIVE w AS MATERIALIZED (SELECT *, ord % 3 = 1 AS later, row_number() OVER (ORDER BY ord % 3 = 1, source, ord) AS rn FROM ({RAW})),
+{_similar("SELECT lower(title) AS t FROM w")}, {_one_loop("SELECT * FROM w")},
+r AS (SELECT later, coalesce(category, 'best_bets') AS kind,
     concat('TITLE: ', title, chr(10), 'META_DESCRIPTION: ', left(content, 20), chr(10), 'BODY:', chr(10), content) AS response
-  FROM once),
-p AS (SELECT ord, kind, {_PARSED} FROM r),
+  FROM w JOIN kept USING (rn)),
+p AS (SELECT later, kind, {_PARSED} FROM r),
 f AS (SELECT *, regexp_replace({_file("kind", "title")}, '\\.md$', '') AS slug FROM p WHERE {_strip("title")} <> '')
-SELECT DISTINCT slug, '{I.DATE}' AS date, 'batch-000000000000' AS batch_id FROM f"""
+SELECT slug, '{I.DATE}' AS date, concat('batch-00000000000', min(later::INT)) AS batch_id FROM f GROUP BY slug"""
+    q["incremental_reread"] = f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY source, ord) AS rn FROM ({RAW}) WHERE ord % 3 <> 1),
+{_similar(f"SELECT lower(title) AS t FROM ({RAW})")}, {_one_loop("SELECT * FROM w")},
+other AS (SELECT min(source) AS source FROM ({RAW})),
+-- what stays comes first, then repeats, which may come again, then the new articles
+n AS (SELECT title, url, source, ord, CASE WHEN kept.rn IS NULL THEN 1 ELSE 0 END AS turn FROM w LEFT JOIN kept USING (rn)
+      WHERE source <> (SELECT source FROM other)
+      UNION ALL SELECT title, url, source, ord, 2 FROM ({RAW}) WHERE ord % 3 = 1 AND source = (SELECT source FROM other)),
+v AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY turn, source, ord) AS rn FROM n), {_one_loop("SELECT * FROM v", "2")}
+SELECT title, url, source FROM v JOIN kept2 USING (rn)"""
     q["envelope_order"] = f"""
 SELECT title, url FROM ({RAW}) QUALIFY row_number() OVER (PARTITION BY title ORDER BY ord) = 1"""
     last = "row_number() OVER (PARTITION BY output_file ORDER BY ord DESC) = 1"

@@ -15,7 +15,7 @@ from ..operators import dedup as D
 from ..operators import enrich, extract, frontier, prompts, publish, rejects, render, scoring
 from ..session import scratch_dir, ship_package
 from ..sources import catalog, pages as page_source, processed, published, raw
-from ..streaming.incremental import run_incremental
+from ..streaming.incremental import current_articles, run_incremental
 from . import flow
 from . import inputs as I
 from .settings import Settings
@@ -220,7 +220,7 @@ def q_enrich_linked(spark, d):
         (F.col("page_id") % 3 > 0).alias("needs_full_scrape"),
     )
     bodies = extract.extract_body(pages)
-    out = enrich.enrich_linked(articles, bodies, 5)
+    out = enrich.enrich_linked(articles, bodies, None)
     return out.select("ord", "source", F.md5("content").alias("content_md5"), F.length("raw_html").alias("n_raw"))
 
 
@@ -534,25 +534,44 @@ def q_split_frontmatter_yaml(spark, d):
 # whole runs -----------------------------------------------------------------
 
 
-def q_incremental_run(spark, d):
-    """Envelope files of all documents, taken through to the manifest in one incremental call."""
-    base = _scratch(spark)
-    raw.write_raw(_documents_as_raw(spark, d), f"{base}/in", "2026-01-01T00:00:00+00:00", layout="envelope")
+def _incremental(spark, base):
+    """A function that takes what is new or changed below ``base`` through to the manifest, answering every prompt."""
 
     def answer(asked: DataFrame) -> DataFrame:
-        articles = spark.read.parquet(f"{base}/run/articles_in").select("article_id", "title", "content")
+        articles = spark.read.parquet(f"{base}/run/articles_in").select("article_id", "title", "content").distinct()
         response = F.concat(F.lit("TITLE: "), "title", F.lit("\nMETA_DESCRIPTION: "), F.left("content", F.lit(20)), F.lit("\nBODY:\n"), "content")
         return asked.join(articles.select("article_id", response.alias("response")), "article_id").select("article_id", "response")
 
-    run = lambda: run_incremental(
-        spark, f"{base}/in", f"{base}/run", f"{base}/checkpoint", I.DATE, answer, Settings(threshold=1.0)
-    )
+    return lambda: run_incremental(spark, f"{base}/in", f"{base}/run", f"{base}/checkpoint", I.DATE, answer)
+
+
+def q_incremental_run(spark, d):
+    """Envelope files of all documents in two calls; titles of the second are compared with those of the first."""
+    base = _scratch(spark)
+    docs, run = _documents_as_raw(spark, d), _incremental(spark, base)
+    second = F.col("ord") % 3 == 1
+    raw.write_raw(docs.where(~second), f"{base}/in/a", "2026-01-01T00:00:00+00:00", layout="envelope")
+    run()
+    raw.write_raw(docs.where(second), f"{base}/in/b", "2026-01-02T00:00:00+00:00", layout="envelope")
     run()
     run()
     manifest = published.read_manifest(spark, f"{base}/run/manifest")
     return manifest.select("slug", "date", "batch_id")
 
 
+def q_incremental_reread(spark, d):
+    """What is kept after the files of one source have been written again with other articles."""
+    base = _scratch(spark)
+    docs, run = _documents_as_raw(spark, d), _incremental(spark, base)
+    second = F.col("ord") % 3 == 1
+    raw.write_raw(docs.where(~second), f"{base}/in", "2026-01-01T00:00:00+00:00", layout="envelope")
+    run()
+    again = docs.where(second).join(docs.agg(F.min("source").alias("source")), "source").select(docs.columns)
+    raw.write_raw(again, f"{base}/in", "2026-01-02T00:00:00+00:00", layout="envelope")
+    run()
+    return current_articles(spark, f"{base}/run").select("title", "url", "source")
+
+
 def q_staged_run(spark, d):
     """Listing pages taken through all stages of one day."""
     base = _scratch(spark)
