@@ -42,9 +42,9 @@ from .batches import slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of text whose words are replayed together.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 #: Words a task remembers, about 200 bytes each.
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
 #: Characters of a text of which the words are taken at once.
 LONG_TEXT = 4_000_000
 #: Values of a result batch.
