@@ -33,7 +33,7 @@ from ..session import cut_lineage
 from ..sources import catalog
 from ..sources.pages import pages_of_sites, read_pages
 from ..sources.processed import read_processed, write_processed
-from ..sources.published import append_manifest, open_batch, read_manifest, write_published
+from ..sources.published import append_manifest, known_slugs, open_batch, read_manifest, write_published
 from ..sources.raw import read_day, write_raw
 from .settings import Settings
 
@@ -118,9 +118,9 @@ def publish_batch(
     batch is called.
     """
     spark = articles.sparkSession
-    known = read_manifest(spark, f"{base}/manifest")
-    batch_id = open_batch(known, batch_id)
-    todo = cut_lineage(unpublished(articles.select("slug", order_col), known, order_col))
+    batch_id = open_batch(read_manifest(spark, f"{base}/manifest"), batch_id)
+    asked = cut_lineage(articles.select("slug", order_col))
+    todo = cut_lineage(unpublished(asked, known_slugs(asked, f"{base}/manifest"), order_col))
     written = write_published(
         formatted(articles.join(todo, ["slug", order_col], "left_semi"), settings), f"{base}/published", batch_id
     )
