@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import markdown as M
-from ..functions.response import flat_meta, frontmatter_block, frontmatter_body
+from ..functions.response import flat_meta, frontmatter_block, frontmatter_body, read_meta
 from ..functions.templating import fill
 from ..functions.text import json_string_list, safe_filename, strip, title_case, xml_escape
 
@@ -116,11 +116,18 @@ def _yaml_batches(blocks: pd.Series) -> pd.DataFrame:
 def split_frontmatter(df: DataFrame, text: str = "text", mode: str = "flat") -> DataFrame:
     """Add ``meta MAP``, ``tags ARRAY``, ``body`` and ``error`` to processed texts.
 
-    ``flat`` reads ``key: value`` lines inside the engine. ``yaml`` reads full
-    YAML in Arrow batches; a block that does not parse sets ``error``.
+    ``flat`` reads ``key: value`` lines inside the engine. ``lines`` also reads
+    quoted scalars and lists there (see ``read_meta``). ``yaml`` reads full
+    YAML in Arrow batches. In both a block that does not parse sets ``error``.
     """
     block = frontmatter_block(text)
-    if mode == "flat":
+    if mode == "lines":
+        empty = F.create_map().cast("map<string,string>")
+        out = df.withColumn("_y", read_meta(block))
+        error = F.col("_y.error")
+        out = out.withColumn("meta", F.when(error.isNull(), F.col("_y.meta")).otherwise(empty))
+        tags = F.when(error.isNull(), F.try_element_at("_y.lists", F.lit("tags")))
+    elif mode == "flat":
         meta = flat_meta(block)
         tags = F.from_json(F.try_element_at(meta, F.lit("tags")), "array<string>")
         error = F.lit(None).cast("string")

@@ -58,6 +58,29 @@ PROCESSED = [
     ),
 ]
 
+#: Front matter with quoted scalars, remarks and lists, above the text of every document; of every fifth with a mapping inside.
+LISTED = [
+    ("ord", "doc_id"),
+    (
+        "text",
+        f"concat('---', {NL}, 'title: ', chr(39), 'Doc ', chr(39), chr(39), lang, chr(39), chr(39), chr(39), {NL}, '# a remark', {NL}, "
+        f"'slug: doc-', CAST(doc_id AS STRING), ' # here', {NL}, "
+        f"'tags:', {NL}, '  - ', lang, {NL}, '  - \"', source, ': x\"', {NL}, 'keywords: [', lang, ', \"a, b\"]', {NL}, "
+        f"CASE WHEN doc_id % 5 = 4 THEN concat('seo:', {NL}, '  score: 7', {NL}) ELSE '' END, '---', {NL}, text)",
+    ),
+]
+
+#: Lists and quotes inside one another, to three levels.
+NESTED = [
+    ("ord", "doc_id"),
+    (
+        "body",
+        f"concat('- ', lang, {NL}, '    1. ', source, {NL}, '        * ', CAST(doc_id AS STRING), {NL}, '        * x', {NL}, "
+        f"'    2. **', lang, '**', {NL}, CASE WHEN doc_id % 2 = 0 THEN concat('- ', source, {NL}) ELSE '' END, {NL}, "
+        f"'> ', source, {NL}, '>', {NL}, '> > ', lang, {NL}, '> >', {NL}, '> > > ', CAST(doc_id AS STRING))",
+    ),
+]
+
 _MATCHUP = (
     '<div class="matchup big"><span class="teams">A @ <b>B</b></span><i class="line">-3.5</i>'
     '<i class="ml">+120</i><i class="computer-pick">A</i><a href="http://odds.example.com/m">m</a>'

@@ -477,6 +477,18 @@ SELECT ord, meta_title, meta_slug, meta_category,
   (meta_title IS NOT NULL)::INT + (meta_slug IS NOT NULL)::INT + (meta_category IS NOT NULL)::INT AS n_meta, md5(body) AS body_md5 FROM f"""
     q["split_frontmatter"] = split
     q["split_frontmatter_yaml"] = split
+    q["frontmatter_lists"] = """
+SELECT doc_id AS ord, CASE WHEN good THEN concat('Doc ', chr(39), lang, chr(39)) END AS title, CASE WHEN good THEN concat('doc-', doc_id) END AS slug,
+  CASE WHEN good THEN concat(lang, '|', source, ': x') ELSE '' END AS tags, md5(text) AS body_md5, NOT good AS rejected
+FROM (SELECT *, doc_id % 5 <> 4 AS good FROM documents)"""
+    item, out = "concat('<li>', {}, '</li>', chr(10))".format, "concat('<{0}l>', chr(10), {1}, '</{0}l>', chr(10))".format
+    inner = out("u", f"concat({item('doc_id')}, {item(_lit('x'))})")
+    middle = out("o", f"concat('<li>', source, {inner}, '</li>', chr(10), {item("concat('<strong>', lang, '</strong>')")})")
+    outer = f"concat('<li>', lang, {middle}, '</li>', chr(10), CASE WHEN doc_id % 2 = 0 THEN {item('source')} ELSE '' END)"
+    quote = "concat('<blockquote>', chr(10), '<p>', {}, '</p>', chr(10), {}, '</blockquote>')".format
+    deep = quote("lang", "concat('<blockquote>', chr(10), '<p>', doc_id, '</p>', chr(10), '</blockquote>', chr(10))")
+    q["nested_markdown"] = f"""
+SELECT doc_id AS ord, concat({out("u", outer)}, {quote("source", f"concat({deep}, chr(10))")}) AS content_html FROM documents"""
     q["article_fields"] = META + f"SELECT ord, title, slug, date FROM ({_FIELDS})"
     q["markdown_blocks"] = BLOCKS + """
 SELECT kind, level, count(*) AS blocks, CAST(sum(length(inner_text)) AS BIGINT) AS n_chars FROM h GROUP BY ALL"""

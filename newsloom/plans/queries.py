@@ -434,6 +434,22 @@ def q_render_markdown(spark, d):
     return render.render_markdown(_marked(spark, d)).select("ord", "content_html")
 
 
+def q_frontmatter_lists(spark, d):
+    rows = render.split_frontmatter(I.derive(spark, d, "documents", I.LISTED), mode="lines")
+    return rows.select(
+        "ord",
+        F.try_element_at("meta", F.lit("title")).alias("title"),
+        F.try_element_at("meta", F.lit("slug")).alias("slug"),
+        F.array_join("tags", "|").alias("tags"),
+        F.md5("body").alias("body_md5"),
+        F.col("error").isNotNull().alias("rejected"),
+    )
+
+
+def q_nested_markdown(spark, d):
+    return render.render_markdown(I.derive(spark, d, "documents", I.NESTED)).select("ord", "content_html")
+
+
 def q_markdown_blocks(spark, d):
     blocks = render.markdown_blocks(_marked(spark, d), "ord")
     return blocks.groupBy("kind", "level").agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.length("block")).alias("n_chars"))

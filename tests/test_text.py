@@ -1,11 +1,12 @@
 import html
 
 import pytest
+import yaml
 
 from newsloom.functions import html as H
 from newsloom.functions import text as X
 from newsloom.functions import urls as U
-from newsloom.functions.response import flat_meta, frontmatter_block, frontmatter_body, parse_response
+from newsloom.functions.response import UNREADABLE, flat_meta, frontmatter_block, frontmatter_body, parse_response, read_meta
 
 
 #: Title, slug and file name, written out.
@@ -92,6 +93,29 @@ def test_frontmatter_parts(one):
     assert one(lambda t: flat_meta(frontmatter_block(t)), "Just text.\n") == {}
 
 
+@pytest.mark.parametrize(
+    "block,meta,lists",
+    [
+        ("title: 'It''s'\ntags:\n  - NBA\n  - \"a \\\"b\\\\\"\n# c\nslug: s-1 # end", {"title": "It's", "slug": "s-1"}, {"tags": ["NBA", 'a "b\\']}),
+        ("k: [x, \"y, z\", 'q']\ne:\na: 1\na: 2", {"a": "2"}, {"k": ["x", "y, z", "q"]}),
+        ("tags: old\ntags:\n- new\n\n-  other \r\ndate: 2026-02-17", {"date": "2026-02-17"}, {"tags": ["new", "other"]}),
+        ('a: ~\nb: "x\\ny"\nkey two: v:w', {"a": None, "b": "x\ny", "key two": "v:w"}, {}),
+        ("", {}, {}),
+    ],
+)
+def test_front_matter_lines(one, block, meta, lists):
+    got = one(read_meta, block)
+    assert (got["meta"], got["lists"], got["error"]) == (meta, lists, None)
+    parsed = yaml.safe_load(block) or {}
+    assert {k: v for k, v in parsed.items() if isinstance(v, list)} == lists
+    assert {k: None if v is None else str(v) for k, v in parsed.items() if not isinstance(v, list) and k != "e"} == meta
+
+
+@pytest.mark.parametrize("block", ["- a", "a:\n  b: 1", "a: |\n  x", "a: b: c", "t: 'open", "a: {b: 1}", "a: 1\n- b", "just text"])
+def test_front_matter_that_is_rejected(one, block):
+    assert one(read_meta, block)["error"] == UNREADABLE
+
+
 def test_html_fields(one):
     page = "<html><head><title> A &amp; B </title><script>var x='<p>';</script></head><article><p>One <b>two<br>three<!-- no --></article>"
     assert one(H.page_title, page) == "A & B"
