@@ -294,8 +294,8 @@ def test_families_of_lines(spark, monkeypatch, rows):
     monkeypatch.setattr(line_dedup, "KEY_ROWS", rows)
     monkeypatch.setattr(line_dedup, "COUNTED", 1)
     monkeypatch.setattr(line_dedup, "COMPARED", rows)
-    many = [(i, f"{LONG} with number{'abcdefghij'[i % 10]} {i}\nmember{i} {'xyz'[i % 3]} b c d") for i in range(60)]
-    many += [(100, "a b c d e\na b c d f\n12 34 56 78 90"), (101, "a b c d g\n12 34 56 78 91\n99 88 77 66 55")]
+    many = [(i, f"{LONG} with number{'abcdefghij'[i % 10]} {i}\nmember number {i} {'xyz'[i % 3]} of the family of short lines") for i in range(60)]
+    many += [(100, "a b c d e\na b c d e\n12 34 56 78 90"), (101, "a b c d e\n12 34 56 78 90\n99 88 77 66 55")]
     docs = spark.createDataFrame(many, "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(docs, distance=None).collect()}
     assert got == lines_of_rule(many)
