@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -209,5 +210,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(
+    string.ascii_uppercase, string.ascii_lowercase
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What SQL can express of these queries."""
+    return {
+        "op2_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), {decontaminate.WINDOW}) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS t
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM i WHERE k > 0)),
+places AS (
+  SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS t
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+met AS MATERIALIZED (SELECT doc_id, item_id, k, p FROM places JOIN windows USING (k, t)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS pos FROM met) GROUP BY doc_id),
+of AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM met) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN of USING (doc_id)""",
+    }
