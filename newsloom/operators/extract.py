@@ -1,12 +1,18 @@
 """One record per card of a listing page, driven by the rule table."""
 
-import pandas as pd
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.selectors import Page, parse_selector
 from ..functions.urls import path_of, resolve_link, sport_from_path
-from ..schemas import CARD
+from ..schemas import CARD, STR
 from ..sources.catalog import ARTICLE_BODY_SEL, DEFAULT_CONTENT_TYPE
 from .skew import small
 
@@ -14,6 +20,37 @@ from .skew import small
 _ENCODED_NAME = r"(?i)\b(?:class|id)\s*=\s*(?:\"[^\"]*&|'[^']*&|[^\s\"'>]*&)"
 
 
+#: Characters of pages that Python turns into objects at once; a longer page stands alone.
+SLICE_BYTES = 2_000_000
+_BODY = T.StructType([T.StructField("content", STR), T.StructField("raw_html", STR)])
+
+
+def _ends(html: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of at most ``most`` bytes of pages."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(html), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(sizes):
+        before = int(sizes[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
+        yield at, end
+        at = end
+
+
+def _in_slices(
+    batches: Iterator[tuple[pa.Array, ...]], read: Callable[..., list], kind: T.DataType, most: int
+) -> Iterator[pa.Array]:
+    """``read`` of every row. What is read leaves the task slice by slice, however many pages a batch has."""
+    arrow = to_arrow_type(kind)
+    for columns in batches:
+        empty = True
+        for at, end in _ends(columns[0], most):
+            empty = False
+            rows = zip(*(c.slice(at, end - at).to_pylist() for c in columns))
+            yield pa.array([read(*row) for row in rows], type=arrow)
+        if empty:
+            yield pa.array([], type=arrow)
+
+
 def _page_title(page: Page) -> str:
     return page.text(page.first("title"), "")
 
@@ -33,7 +70,7 @@ def _cards(html: str, card_sel: str, title_sel: str, fallback_sel: str, odds_sel
                 "title": page.text(page.first(title_sel, card), ""),
                 "content": page.text(card, "\n"),
                 "href": None if link is None else link.attrs["href"] or "",
-                "odds_data": odds,
+                "odds_data": list(odds.items()),
                 "raw_html": page.source(card),
                 "fallback": False,
             }
@@ -48,18 +85,20 @@ def _cards(html: str, card_sel: str, title_sel: str, fallback_sel: str, odds_sel
             "title": _page_title(page),
             "content": page.text(main, "\n"),
             "href": None,
-            "odds_data": {},
+            "odds_data": [],
             "raw_html": page.source(main),
             "fallback": True,
         }
     ]
 
 
-def _card_batches(
-    html: pd.Series, card: pd.Series, title: pd.Series, fallback: pd.Series, odds: pd.Series
-) -> pd.Series:
-    rows = zip(html, card, title, fallback, odds)
-    return pd.Series([_cards(h, c, t, f, dict(o)) for h, c, t, f, o in rows], dtype=object)
+def _card_reader(most: int):
+    kind = T.ArrayType(CARD)
+
+    def read(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        return _in_slices(batches, lambda h, c, t, f, o: _cards(h, c, t, f, dict(o)), kind, most)
+
+    return F.arrow_udf(read, kind)
 
 
 def _may_match(html: Column, selectors: Column) -> Column:
@@ -88,7 +127,7 @@ def extract_cards(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """
     joined = pages.where(F.col("html").isNotNull()).join(small(rules), "source")
     joined = joined.where(_may_match(F.col("html"), F.concat_ws(",", "card_sel", "fallback_sel")))
-    read = F.pandas_udf(_card_batches, f"array<{CARD.simpleString()}>")
+    read = _card_reader(SLICE_BYTES)
     keep = [c for c in pages.columns if c != "html"] + ["resolve_links"]
     return joined.select(
         *keep,
@@ -142,18 +181,19 @@ def extract_records(
     )
 
 
-def _first_match(selector: str):
+def _first_match(selector: str, most: int):
     parse_selector(selector)
+    kind = T.ArrayType(_BODY)
+
+    def body(html: str) -> list[dict]:
+        page = Page(html)
+        e = page.first(selector)
+        return [] if e is None else [{"content": page.text(e, "\n"), "raw_html": page.source(e)}]
 
-    def read(html: pd.Series) -> pd.Series:
-        rows = []
-        for h in html:
-            page = Page(h)
-            e = page.first(selector)
-            rows.append([] if e is None else [{"content": page.text(e, "\n"), "raw_html": page.source(e)}])
-        return pd.Series(rows)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _in_slices(((html,) for html in batches), body, kind, most)
 
-    return F.pandas_udf(read, "array<struct<content: string, raw_html: string>>")
+    return F.arrow_udf(read, kind)
 
 
 def extract_body(pages: DataFrame, selector: str = ARTICLE_BODY_SEL) -> DataFrame:
@@ -161,5 +201,5 @@ def extract_body(pages: DataFrame, selector: str = ARTICLE_BODY_SEL) -> DataFram
     wanted = pages.where(F.col("html").isNotNull() & _may_match(F.col("html"), F.lit(selector)))
     keep = [c for c in pages.columns if c != "html"]
     # at most one element: a filter on the result would read every page twice
-    found = wanted.select(*keep, F.explode(_first_match(selector)("html")).alias("body"))
+    found = wanted.select(*keep, F.explode(_first_match(selector, SLICE_BYTES)("html")).alias("body"))
     return found.select(*keep, "body.content", "body.raw_html")

@@ -114,3 +114,21 @@ def test_selector_forms():
         parse_selector("div > p")
     page = Page("<p>a < b <!-- c -->d</p><br/><img src=x>e")
     assert page.pieces == ["a < b", "d", "e"]
+
+
+def test_cards_leave_a_batch_slice_by_slice(spark, monkeypatch):
+    """However many pages a batch has, only some of them are objects at once."""
+    import pyarrow as pa
+
+    from newsloom.operators import extract
+
+    html = ["<li>a</li>", None, "<p>" * 400, "", "<li>b</li>"]
+    taken = []
+    read = lambda h: taken.append(h) or []
+    parts = extract._in_slices(iter([(pa.array(html),), (pa.array([], pa.string()),)]), read, extract.T.ArrayType(extract.CARD), 100)
+    assert (len(next(parts)), len(taken)) == (2, 2)
+    assert [len(p) for p in parts] == [1, 2, 0] and taken == html
+    some = [("rotowire", "/nba/odds", PICKS), ("covers", "/ncaab/odds", NEWS), ("rotowire", "/nba/odds", "")] * 5
+    whole = records(spark, *some)
+    monkeypatch.setattr(extract, "SLICE_BYTES", 1)
+    assert records(spark, *some) == whole and len(whole) == 35
