@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.plans import queries
+from newsloom.plans import flow, queries
 from newsloom.plans.flow import run_stages
 from newsloom.plans.settings import Settings
 from newsloom.sources.published import read_manifest
@@ -95,3 +95,17 @@ def test_staged_run_is_registered_with_title_similarity(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         queries.q_staged_run(spark, "/root/testdata/sf0.001")
     assert asked == [Settings()]
+
+
+def test_articles_of_one_file_are_read_by_many_tasks(spark, tmp_path):
+    base = str(tmp_path)
+    text = F.concat(F.lit("---\nslug: a-"), F.col("id").cast("string"), F.lit("\n---\nbody"))
+    rows = spark.range(2000).select(F.lit(DAY).alias("date"), F.col("id").cast("string").alias("stem"), text.alias("text"))
+    rows.coalesce(1).write.parquet(f"{base}/texts")
+    read = flow.read_articles(spark.read.parquet(f"{base}/texts"), DAY, Settings())
+    used = read.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(used) == 8 and max(r["count"] for r in used) < 500
+    assert sorted(r.slug for r in read.collect()) == sorted(f"a-{i}" for i in range(2000))
+    # few rows stay where they are
+    few = flow.read_articles(spark.read.parquet(f"{base}/texts").where("stem = '7'"), DAY, Settings())
+    assert [r.slug for r in few.collect()] == ["a-7"]
