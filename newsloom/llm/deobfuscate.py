@@ -10,6 +10,7 @@ channel. Only spans that show such signs are decoded; other words have one path.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
@@ -43,6 +44,8 @@ SEPARATORS = " .-_*~,/\\"
 #: Costs of the channel, in nats: another sign for a letter, a repeated letter, a separator left out.
 SIGN, REPEAT, GAP = 1.0, 0.5, 0.3
 
+#: What texts with such spans have in them; found much sooner, as it begins with a given character.
+_SINGLE = re.compile(r" \S \S(?=[\s.,;:!?)\"']|\Z)")
 _SINGLES = re.compile(r"(?<![^\s(\"'])(?:\S ){2,}\S(?=[\s.,;:!?)\"']|\Z)")
 _TRIPLE = re.compile(r"(.)\1\1")
 _JOINED = re.compile(r"(?:\w[.\-_*~,/\\]){2,}\w")
@@ -73,6 +76,7 @@ class Restorer:
         self.cost = -np.log(full)
         self.rows = self.cost.tolist()
         self.known: dict[str, str] = {}
+        self.pieces: dict[str, tuple[str, ...]] = {}
 
     def lattice(self, span: str) -> list[list[tuple[str, float]]]:
         """For each step the strings that may have been meant, with their costs."""
@@ -138,20 +142,33 @@ class Restorer:
         self.known[token] = found
         return found
 
+    def token_words(self, token: str) -> tuple[str, ...]:
+        """Words of a restored token in lower case, without punctuation inside them."""
+        if (pieces := self.pieces.get(token)) is None:
+            if len(self.pieces) >= self.MOST:
+                self.pieces.clear()
+            pieces = self.pieces[token] = _words(self.token(token))
+        return pieces
+
+    def span_words(self, text: str) -> Iterator[str]:
+        """Words that single characters of a text in lower case make up."""
+        if _SINGLE.search(text):
+            for span in _SINGLES.finditer(text):
+                yield from _words(self.decode(span[0]))
+
     def words(self, text: str) -> list[str]:
         """Words of the restored text, each once."""
         text = text.lower()
-        found: set[str] = set()
+        out = set(self.span_words(text))
         for token in set(text.split()):
-            restored = self.token(token)
-            found.update(restored.split() if " " in restored else (restored,))
-        for span in _SINGLES.finditer(text):
-            found.update(self.decode(span[0]).split())
-        # remaining punctuation inside tokens
-        out: set[str] = set()
-        for word in found:
-            out.update((word,) if word.isalpha() else _LETTERS.findall(word))
+            out.update(self.token_words(token))
         return sorted(out)
 
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _words(restored: str) -> tuple[str, ...]:
+    if restored.isalpha():
+        return (restored,)
+    return tuple(w for part in restored.split() for w in ((part,) if part.isalpha() else _LETTERS.findall(part)))

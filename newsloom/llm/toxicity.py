@@ -16,7 +16,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -169,14 +169,20 @@ def fit(
 
     def measure():
         known = sent.value
+        weights: tuple[dict[str, float], dict[str, float]] = ({}, {})
 
         def work(read: Rows) -> Rows:
-            return {
-                "evidence": [
-                    evidence([known.weight(w, int(y == 1)) for w in ws])
-                    for ws, y in zip(read["words"], read["label"], strict=True)
-                ]
-            }
+            out = []
+            for words, label in zip(read["words"], read["label"], strict=True):
+                own = int(label == 1)
+                mine = weights[own]
+                if len(mine) > Restorer.MOST:
+                    mine.clear()
+                for word in words:
+                    if word not in mine:
+                        mine[word] = known.weight(word, own)
+                out.append(evidence([mine[w] for w in words]))
+            return {"evidence": out}
 
         return work
 
@@ -217,18 +223,25 @@ def score(
     def task():
         known = sent.value
         restorer = Restorer(known.characters)
-        weights: dict[str, float] = {}
+        # words of a token that are evidence at all, with their weights; most have none
+        weighted: dict[str, dict[str, float]] = {}
+
+        def hits(words: Iterable[str]) -> dict[str, float]:
+            return {w: weight for w in words if (weight := known.weight(w))}
 
         def work(rows: Rows) -> Rows:
             out = []
             for content in rows[body]:
-                words = restorer.words(content) if content else []
-                if len(weights) > Restorer.MOST:
-                    weights.clear()
-                for word in words:
-                    if word not in weights:
-                        weights[word] = known.weight(word)
-                out.append(known.score(evidence([weights[w] for w in words])))
+                text, found = (content or "").lower(), {}
+                if len(weighted) > Restorer.MOST:
+                    weighted.clear()
+                for token in set(text.split()):
+                    if (some := weighted.get(token)) is None:
+                        some = weighted[token] = hits(restorer.token_words(token))
+                    if some:
+                        found |= some
+                found |= hits(restorer.span_words(text))
+                out.append(known.score(evidence(list(found.values()))))
             return {into: out}
 
         return work

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from newsloom.llm import queries, toxicity
+from newsloom.llm import deobfuscate, queries, toxicity
 from newsloom.llm.deobfuscate import Restorer, trigram_counts
 
 from .conftest import ODD
@@ -86,3 +86,20 @@ def test_odd_rows(spark, odd, none):
     assert all(0 <= r._s <= 1 for r in scored.collect()) and scored.count() == len(ODD)
     empty = toxicity.fit(none, labels.limit(0))
     assert empty.rate == 0 and toxicity.score(odd, empty, keep=["doc_id"]).agg({"score": "max"}).first()[0] == 0
+
+
+def test_known_tokens_are_not_restored_again(monkeypatch):
+    restorer = Restorer(trigram_counts(CORPUS))
+    assert restorer.words("happy l0ser, happy") == ["happy", "loser"]
+    monkeypatch.setattr(restorer, "token", None)
+    assert restorer.words("l0ser, happy") == ["happy", "loser"]
+
+
+def test_spans_of_single_characters_are_found():
+    rng, found = np.random.default_rng(3), 0
+    for size in rng.integers(0, 30, 3000):
+        text = "".join(rng.choice(list("ab.!(\"\n   "), size))
+        spans = list(deobfuscate._SINGLES.finditer(text))
+        found += bool(spans)
+        assert not spans or deobfuscate._SINGLE.search(text)
+    assert found > 100
