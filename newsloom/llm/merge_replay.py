@@ -39,6 +39,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from ..session import ship_package
 from .batches import slices
+from .row_keys import unused
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of text whose words are replayed together.
@@ -289,7 +290,7 @@ def encode(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",
         if block:
             yield from done(block)
 
-    return docs.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, full)
+    return docs.select(*keep, F.col(text).cast("string").alias(unused("_text", keep))).mapInArrow(run, full)
 
 
 def decode_ids(ids: np.ndarray, vocab: Vocabulary) -> bytes | None:

@@ -87,6 +87,14 @@ def test_odd_rows(odd, none, monkeypatch):
     assert merge_replay.decode(merge_replay.encode(none)).count() == 0
 
 
+def test_a_column_named_like_the_text_that_is_read(spark):
+    rows = spark.createDataFrame([(1, "one text", "x"), (2, None, None)], "doc_id int, text string, _text string")
+    encoded = merge_replay.encode(rows, keep=rows.columns)
+    assert encoded.columns == [*rows.columns, "ids"]
+    got = {r.doc_id: (r.text, r["_text"], tuple(r.ids)) for r in encoded.collect()}
+    assert got == {1: ("one text", "x", tuple(LIBRARY("one text"))), 2: (None, None, ())}
+
+
 def test_unknown_ids_have_no_bytes(spark):
     rows = spark.createDataFrame([(1, [0, 60_000]), (2, None), (3, [-1]), (4, []), (5, [None, 3])], "doc_id int, ids array<int>")
     got = {r.doc_id: r.decoded for r in merge_replay.decode(rows).collect()}
