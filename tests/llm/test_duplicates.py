@@ -9,7 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from newsloom.llm import gray_index, hamming, line_dedup, line_sketch, queries
+from newsloom.llm import edits, gray_index, hamming, line_dedup, line_sketch, queries
 from newsloom.llm.components import components
 from newsloom.llm.edits import _within, at_most, levenshtein, similar, similar_pairs
 from newsloom.llm.simhash import fingerprint, shingle_fingerprint, signed
@@ -399,3 +399,25 @@ def test_documents_stay_with_short_lines_of_their_own(spark):
     rows += [(5, f"shared\n{footer}"), (6, f"shared\n{footer}")]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), distance=None).collect()
     assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "another verse", 5: "shared"}
+
+
+def test_documents_that_go_are_found_without_their_texts(spark, monkeypatch):
+    found, real = [], line_dedup._with_nothing_left
+    monkeypatch.setattr(line_dedup, "_with_nothing_left", lambda *tables: found.append(real(*tables)) or found[-1])
+    footer = "this footer stands under all of the texts"
+    rows = [(1, f"\tshared \r\n***\n{footer}"), (2, f"shared\n\x0b\n{footer}"), (3, f"shared\n***\n {footer}\n"), (4, f"\xa0\n{footer}")]
+    rows += [(5, None), (6, f"{footer}\n{footer}"), (7, f"own\n{footer}"), (7, f"own\n{footer}"), (8, f" \n{footer}"), (None, f"***\n{footer}!")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), distance=None).collect()
+    left = {None: f"***\n{footer}!", 1: "\tshared \r\n***", 4: "\xa0", 5: None, 7: "own"}
+    assert {r.doc_id: r.text for r in got} == left and len(got) == len(left)
+    assert "text" not in found[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_edit_distance_ends_beyond_its_bound():
+    columns = []
+    text = type("Text", (str,), {"__iter__": lambda self: (columns.append(c) or c for c in str(self).__str__())})
+    one, other = "abc" * 300, text("xyz" * 300)
+    assert edits.levenshtein(one, other, 180) > 180
+    assert len(columns) < 300
+    for most in (2, 3, 4):
+        assert (edits.levenshtein("kitten", "sitting", most) <= most) == (most >= 3)
